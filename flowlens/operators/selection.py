@@ -74,21 +74,24 @@ def long_form(values: Mapping[str, Sequence[Column]], names: Sequence[str]) -> C
     ]))
 
 
+def _literals(values: Sequence[float]) -> str:
+    return ", ".join(f"{v!r}D" for v in values)
+
+
 def sketch(
-    df: DataFrame, requests: Mapping[str, tuple[Column, Sequence[float]]], accuracy: int
+    df: DataFrame, requests: Mapping[str, tuple[str, Sequence[float]]], accuracy: int
 ) -> tuple[dict[str, int], dict[str, list[float]]]:
-    """Non-null counts and approximate quantiles of every request, in one aggregation."""
-    keys = list(requests)
+    """Non-null counts and approximate quantiles of every (column, fractions) request, in one
+    aggregation."""
     aggs = []
-    for i, key in enumerate(keys):
-        column, fractions = requests[key]
-        aggs.append(F.count(column).alias(f"n{i}"))
+    for i, (column, fractions) in enumerate(requests.values()):
+        aggs.append(f"count(`{column}`) AS n{i}")
         if fractions:
-            aggs.append(F.percentile_approx(column, list(fractions), accuracy).alias(f"q{i}"))
-    row = df.agg(*aggs).first().asDict()
+            aggs.append(f"percentile_approx(`{column}`, array({_literals(fractions)}), {accuracy}) AS q{i}")
+    row = df.selectExpr(*aggs).first().asDict()
     return (
-        {key: row[f"n{i}"] for i, key in enumerate(keys)},
-        {key: list(row.get(f"q{i}") or []) for i, key in enumerate(keys)},
+        {key: row[f"n{i}"] for i, key in enumerate(requests)},
+        {key: list(row.get(f"q{i}") or []) for i, key in enumerate(requests)},
     )
 
 
@@ -125,7 +128,7 @@ def order_statistics(
     flat = df.select(*[null_if_nan(columns[c].cast("double")).alias(c) for c in names])
     counts, approx = sketch(
         flat,
-        {c: (F.col(c), [q for f in per_column[c] for q in _around(f, accuracy)]) for c in names},
+        {c: (c, [q for f in per_column[c] for q in _around(f, accuracy)]) for c in names},
         accuracy,
     )
     wanted = {
@@ -218,13 +221,13 @@ def _narrow(flat: DataFrame, again, accuracy: int):
     """Sketch inside the intervals that are still too wide and bracket their ranks tighter."""
     if not again:
         return {}, {}
-    requests, local_fraction = {}, {}
+    requests, inner, local_fraction = {}, {}, {}
     for i, (c, rank, (low, high), local, n) in enumerate(again):
         fraction = (local + 0.5) / n
-        inside = F.when((F.col(c) >= low) & (F.col(c) <= high), F.col(c))
-        requests[str(i)] = (inside, _around(fraction, accuracy))
+        inner[f"inner{i}"] = F.when((F.col(c) >= low) & (F.col(c) <= high), F.col(c))
+        requests[str(i)] = (f"inner{i}", _around(fraction, accuracy))
         local_fraction[str(i)] = fraction
-    _, approx = sketch(flat, requests, accuracy)
+    _, approx = sketch(flat.select(*[c.alias(k) for k, c in inner.items()]), requests, accuracy)
     wanted: dict[str, list[int]] = {}
     intervals: dict[str, list[Interval]] = {}
     for i, (c, rank, (low, high), _, _) in enumerate(again):
