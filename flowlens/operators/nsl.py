@@ -10,7 +10,7 @@ from flowlens.functions import lookups as L
 from flowlens.functions.columns import (
     MIN_DURATION, NEUTRAL_ENTROPY, clamp, fold, number, outside,
 )
-from flowlens.operators.sampling import stratified_downsample
+from flowlens.operators.sampling import class_size, stratified_downsample
 
 LABEL_CLASS = {name: cls for cls, names in L.ATTACK_FAMILIES.items() for name in names}
 MAPPED = {c: L.RANGES[c] for c in L.MAPPED_RANGES}
@@ -95,5 +95,5 @@ def ingest(
     if max_rows and stats["rows_out"] > max_rows:
         share = max_rows / stats["rows_out"]
         rows = stratified_downsample(rows, share)
-        stats["downsampled_to"] = sum(round(n * share) for n in stats["label_counts"].values())
+        stats["downsampled_to"] = sum(class_size(n, share) for n in stats["label_counts"].values())
     return rows, stats
