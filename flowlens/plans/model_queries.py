@@ -73,7 +73,7 @@ q AS (SELECT quantile_cont(duration, 0.75) - quantile_cont(duration, 0.25) AS qd
  quantile_cont(src_bytes, 0.75) - quantile_cont(src_bytes, 0.25) AS qs FROM filled),
 top AS (SELECT service AS mode FROM holed WHERE service IS NOT NULL GROUP BY service ORDER BY count(*) DESC, service LIMIT 1)
 SELECT ok, ln, pk, round((duration - md) / qd, 6) AS duration, round((src_bytes - ms) / qs, 6) AS src_bytes,
- CASE WHEN coalesce(service, mode) = 'http' THEN 1.0 ELSE 0.0 END AS service_http FROM filled, q, top""")
+ CASE WHEN coalesce(service, mode) = 'http' THEN 1e0 ELSE 0e0 END AS service_http FROM filled, q, top""")
 def preprocess(spark, sf_dir):
     """Fit and apply with missing values in two numeric columns and one category."""
     df = _holed(spark, sf_dir)
@@ -102,7 +102,7 @@ ONE_HOT = {"protocol": ["icmp", "tcp", "udp"], "flag": ["REJ", "S0", "SF"]}
 
 
 @register("one_hot", f"{FLOWS_SQL} SELECT ok, ln, pk, " + ", ".join(
-    f"CASE WHEN {c} = '{v}' AND pk % 3 <> 0 THEN 1.0 ELSE 0.0 END AS {c}_{v}" for c, vs in ONE_HOT.items() for v in vs
+    f"CASE WHEN {c} = '{v}' AND pk % 3 <> 0 THEN 1e0 ELSE 0e0 END AS {c}_{v}" for c, vs in ONE_HOT.items() for v in vs
 ) + " FROM flows_v")
 def one_hot(spark, sf_dir):
     """Encode rows of which a third carry a value that was not seen at fit time."""
@@ -232,7 +232,9 @@ def promotion_gate(spark, sf_dir):
     ))
 
 
-@register("model_versions")
+@register("model_versions", f"""{PRED_SQL}, {macro_sql("source")}
+SELECT 'flow_classifier' AS model_name, CAST(length(source) AS BIGINT) AS version, source AS run_id, round(f1, 6) AS f1
+FROM macro WHERE f1 > 0.5 ORDER BY length(source) DESC LIMIT 1""")
 def model_versions(spark, sf_dir):
     """Register each source's scores as a version and read the champion: the latest promoted one."""
     from flowlens.ml.registry import champion
@@ -246,7 +248,7 @@ def model_versions(spark, sf_dir):
         F.current_timestamp().alias("created_at"),
     )
     store.append(rows, VERSIONS)
-    return champion(store.read(VERSIONS), "flow_classifier").select("model_name", "version", "run_id", "f1")
+    return rounded(champion(store.read(VERSIONS)).select("model_name", "version", "run_id", "f1"))
 
 
 @register("audit_event", f"""{PRED_SQL}, {macro_sql()}
