@@ -140,6 +140,8 @@ def order_statistics(
         c: _merge(_brackets(per_column[c], approx[c], accuracy)) for c in wanted
     }
     found: dict[str, dict[int, float]] = {c: {} for c in names}
+    # Finer sketches each round, so that brackets shrink down to neighbouring values in the end.
+    max_distinct = max(max_distinct, 8)
     while wanted:
         cells = _count_cells(flat, intervals)
         cells.persist(StorageLevel.MEMORY_AND_DISK)
@@ -148,6 +150,7 @@ def order_statistics(
         for c, rank, value in _pick(cells, ready):
             found[c][rank] = value
         cells.unpersist()
+        accuracy = min(accuracy * 8, 10_000_000)
         wanted, intervals = _narrow(flat, again, accuracy)
     return counts, found
 
