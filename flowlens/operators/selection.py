@@ -40,8 +40,9 @@ def _merge(intervals: Sequence[Interval]) -> list[Interval]:
 
 
 def _bounds(intervals: Sequence[Interval]) -> list[float]:
-    """Cut points so that odd cells are the intervals and even cells the gaps between them."""
-    return [edge for low, high in intervals for edge in (low, _above(high))]
+    """Cut points so that odd cells are the intervals and even cells the gaps between them. Nothing
+    lies above infinity, so an interval up to there has no closing cut."""
+    return [e for low, high in intervals for e in ((low,) if high == INF else (low, _above(high)))]
 
 
 def bucket_index(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str) -> DataFrame:
@@ -51,6 +52,7 @@ def bucket_index(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str
     """
     names = [c for c in cuts if any(-INF < e < INF for e in cuts[c])]
     base = {c: sum(e == -INF for e in cuts[c]) for c in cuts}
+    top = {c: sum(e == INF for e in cuts[c]) for c in cuts}
     if names:
         df = Bucketizer(
             splitsArray=[[-INF] + [e for e in cuts[c] if -INF < e < INF] + [INF] for c in names],
@@ -59,7 +61,8 @@ def bucket_index(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str
     indexes = {
         c + suffix: F.when(
             F.col(c).isNotNull(),
-            (F.col(c + suffix).cast("int") if c in names else F.lit(0)) + F.lit(base[c]),
+            (F.col(c + suffix).cast("int") if c in names else F.lit(0)) + F.lit(base[c])
+            + (F.when(F.col(c) == INF, top[c]).otherwise(0) if top[c] else F.lit(0)),
         )
         for c in cuts
     }
