@@ -62,7 +62,8 @@ def retrain_display(events: DataFrame, n: int = 15) -> DataFrame:
         F.date_format("created_at", "MM-dd HH:mm").alias("created_at"), "trigger",
         F.when(F.coalesce("promoted", F.lit(False)), "✅").otherwise(dash).alias("promoted"),
         F.coalesce(F.concat(F.lit("v"), F.col("new_model_version")), dash).alias("new_model_version"),
-        F.coalesce(F.format_string("%.1f%%", F.col("new_f1") * 100.0), dash).alias("new_f1"),
+        F.when(F.col("new_f1").isNull(), dash)
+        .otherwise(F.format_string("%.1f%%", F.col("new_f1") * 100.0)).alias("new_f1"),
     )
 
 
