@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import pretty_label
@@ -12,13 +12,25 @@ def from_source(predictions: DataFrame, source: str = "all") -> DataFrame:
     return predictions if source == "all" else predictions.where(F.col("source") == source)
 
 
-def kpis(predictions: DataFrame, *keys) -> DataFrame:
-    """(keys, total_traffic, anomalies, normal_traffic, anomaly_rate); the rate of nothing is 0."""
+def _kpi_columns() -> list[Column]:
     total, hits = F.count(F.lit(1)), F.count_if("is_anomaly")
-    return predictions.groupBy(*keys).agg(
+    rate = F.when(total > 0, hits / F.greatest(total, F.lit(1))).otherwise(F.lit(0.0))
+    return [
         total.alias("total_traffic"), hits.alias("anomalies"), (total - hits).alias("normal_traffic"),
-        F.when(total > 0, hits / F.greatest(total, F.lit(1))).otherwise(F.lit(0.0)).alias("anomaly_rate"),
-    )
+        rate.alias("anomaly_rate"),
+    ]
+
+
+def kpis(predictions: DataFrame, *keys) -> DataFrame:
+    """(keys, total_traffic, anomalies, normal_traffic, anomaly_rate); the rate of nothing is 0."""
+    return predictions.groupBy(*keys).agg(*_kpi_columns())
+
+
+def kpis_by_source(predictions: DataFrame) -> DataFrame:
+    """KPIs of every source and of ``all``, from one pass."""
+    grouped = predictions.rollup("source").agg(F.grouping("source").alias("whole"), *_kpi_columns())
+    name = F.when(F.col("whole") == 1, "all").otherwise(F.col("source"))
+    return grouped.withColumn("source", name).drop("whole")
 
 
 def threat_types(predictions: DataFrame) -> DataFrame:

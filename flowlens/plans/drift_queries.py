@@ -111,11 +111,12 @@ live AS (SELECT CAST(count(*) AS BIGINT) AS window_rows FROM sides WHERE NOT is_
 """
 
 
-@register("drift_verdict", f"""{VERDICT_SQL}
-SELECT share >= 0.2 AS overall_drift, share >= 0.2 AS retrain_recommended,
- concat('feature_drift_share=', format('{{:.2f}}', share), ', perf_drift=False') AS reason, window_rows,
- drifted AS drifted_features, warned AS warned_features, round(share, 4) AS feature_drift_share,
- false AS performance_drift FROM agg, live""")
+@register("drift_verdict", f"""{VERDICT_SQL}, j AS (SELECT *, window_rows >= 5000 AS enough FROM agg, live)
+SELECT enough AND share >= 0.2 AS overall_drift, enough AND share >= 0.2 AS retrain_recommended,
+ CASE WHEN enough THEN concat('feature_drift_share=', format('{{:.2f}}', share), ', perf_drift=False')
+  ELSE concat('insufficient live rows (', window_rows, ' < 5000)') END AS reason, window_rows,
+ CASE WHEN enough THEN drifted ELSE '' END AS drifted_features, CASE WHEN enough THEN warned ELSE '' END AS warned_features,
+ CASE WHEN enough THEN round(share, 4) ELSE 0e0 END AS feature_drift_share, false AS performance_drift FROM j""")
 def drift_verdict(spark, sf_dir):
     return _verdict(spark, sf_dir).select(
         "overall_drift", "retrain_recommended", "reason", "window_rows",
@@ -125,9 +126,11 @@ def drift_verdict(spark, sf_dir):
     )
 
 
-@register("drift_report", f"""{VERDICT_SQL}
-SELECT window_rows, drifted AS drifted_features, round(share, 4) AS feature_drift_share, false AS performance_drift,
- share >= 0.2 AS overall_drift, (SELECT CAST(count(*) AS BIGINT) FROM status) AS reported_features FROM agg, live""")
+@register("drift_report", f"""{VERDICT_SQL}, j AS (SELECT *, window_rows >= 5000 AS enough FROM agg, live)
+SELECT window_rows, CASE WHEN enough THEN drifted ELSE '' END AS drifted_features,
+ CASE WHEN enough THEN round(share, 4) ELSE 0e0 END AS feature_drift_share, false AS performance_drift,
+ enough AND share >= 0.2 AS overall_drift,
+ CASE WHEN enough THEN (SELECT CAST(count(*) AS BIGINT) FROM status) ELSE 0 END AS reported_features FROM j""")
 def drift_report(spark, sf_dir):
     """Stored report row; the JSON details are read back as a check that they are complete."""
     report = O.drift_report(_verdict(spark, sf_dir))

@@ -344,13 +344,7 @@ KPI_SQL = """CAST(count(*) AS BIGINT) AS total_traffic, CAST(count(*) FILTER (WH
 @register("kpis", f"""{PRED_SQL} SELECT 'all' AS source, {KPI_SQL} FROM predictions_v
 UNION ALL SELECT source, {KPI_SQL} FROM predictions_v GROUP BY source""")
 def kpis(spark, sf_dir):
-    """All sources together and one by one, from one pass over the sources' counts."""
-    per_source = reports.kpis(_flagged(spark, sf_dir), "source")
-    whole = per_source.agg(*[F.sum(c).alias(c) for c in ("total_traffic", "anomalies", "normal_traffic")])
-    whole = whole.select(
-        F.lit("all").alias("source"), "*", (F.col("anomalies") / F.col("total_traffic")).alias("anomaly_rate")
-    )
-    return rounded(whole.unionByName(per_source))
+    return rounded(reports.kpis_by_source(_flagged(spark, sf_dir)))
 
 
 @register("threat_types", f"""{PRED_SQL}
