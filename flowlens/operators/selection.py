@@ -124,11 +124,11 @@ def order_statistics(
     max_distinct: int = 1_000_000,
 ) -> tuple[dict[str, int], dict[str, dict[int, float]]]:
     """Non-null counts and exact values at 0-based ranks ``ranks(n, fraction)`` of every column."""
-    names = list(columns)
     per_column = {
-        c: list(fractions[c] if isinstance(fractions, Mapping) else fractions) for c in names
+        c: list(fractions[c] if isinstance(fractions, Mapping) else fractions) for c in columns
     }
-    flat = df.select(*[null_if_nan(columns[c].cast("double")).alias(c) for c in names])
+    flat = df.select(*[null_if_nan(columns[c].cast("double")).alias(c) for c in columns])
+    names = list(per_column)
     counts, approx = sketch(
         flat,
         {c: (c, [q for f in per_column[c] for q in _around(f, accuracy)]) for c in names},
