@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import language_spans, sentencepiece_bpe
+from flowlens.llm import language_spans, sentencepiece_bpe, source_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +47,19 @@ def op3(spark, sf_dir):
         sha256_hex(F.col("decoded")).alias("decoded_sha256"))
 
 
+@register("op4_source_mix")
+def op4(spark, sf_dir):
+    sizes, plan, blocks = source_mix.mix(documents(spark, sf_dir))
+    taken = blocks.groupBy("row").agg(
+        F.sum("words").alias("words"), F.count("*").alias("n_blocks"), F.min("shard").alias("first_shard"),
+        F.max("shard").alias("last_shard"))
+    named = plan.select(F.col("source").alias("of"), "source_size", "target")
+    return (sizes.join(named, F.col("source").eqNullSafe(F.col("of"))).join(taken, "row", "left")
+            .select("doc_id", "size", "source_size", "target",
+                    F.coalesce("words", F.lit(0).cast("long")).alias("taken"),
+                    F.coalesce("n_blocks", F.lit(0).cast("long")).alias("n_blocks"), "first_shard", "last_shard"))
+
+
 @register("op8_language_spans")
 def op8(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", in_fold(4, 2))
