@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import language_spans, sentencepiece_bpe, source_mix
+from flowlens.llm import language_spans, order_minhash, sentencepiece_bpe, source_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,17 @@ def in_fold(mod: int, rest: int) -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % mod == rest, F.lit(False))
 
 
+@register("op1_order_minhash")
+def op1(spark, sf_dir):
+    signed = order_minhash.fingerprints(documents(spark, sf_dir))
+    return signed.select(
+        "doc_id", "n_chars", sha256_hex(F.col("edited")).alias("edited_sha256"),
+        order_minhash.as_text("signature").alias("fingerprint"),
+        order_minhash.as_text("edited_signature").alias("edited_fingerprint"),
+        order_minhash.likeness("signature", "edited_signature").alias("near_edited"),
+        order_minhash.likeness("signature", "next_signature").alias("near_next"))
+
+
 @register("op3_sentencepiece")
 def op3(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
