@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import language_spans, order_minhash, sentencepiece_bpe, source_mix
+from flowlens.llm import language_spans, order_minhash, sentencepiece_bpe, source_mix, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,8 +51,7 @@ def op1(spark, sf_dir):
 def op3(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    done = sentencepiece_bpe.decode(sentencepiece_bpe.encode(docs, path), path)
-    return done.select(
+    return sentencepiece_bpe.round_trip(docs, path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         sha256_hex(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
         sha256_hex(F.col("decoded")).alias("decoded_sha256"))
@@ -77,3 +76,26 @@ def op8(spark, sf_dir):
     fitted = language_spans.fit(docs.where(~F.col("held_out")), F.col("doc_id"))
     return language_spans.label(docs.drop("lang"), fitted).select(
         "doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
+@register("op9_substring_dedup", r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM words WHERE len(ws) >= 50)),
+firsts AS (SELECT w, min(doc_id) AS first_doc FROM windows GROUP BY w),
+gone AS (
+  SELECT DISTINCT doc_id, i + j AS pos
+  FROM windows JOIN firsts USING (w), range(0, 50) AS r(j) WHERE first_doc < doc_id),
+tokens AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM words),
+marked AS (SELECT t.doc_id, t.word, t.pos, g.pos IS NOT NULL AS removed FROM tokens t LEFT JOIN gone g USING (doc_id, pos)),
+summed AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (removed) AS n_removed,
+    string_agg(word, ' ' ORDER BY pos) FILTER (NOT removed) AS kept FROM marked GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN summed USING (doc_id)""")
+def op9(spark, sf_dir):
+    return substring_dedup.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256"))
