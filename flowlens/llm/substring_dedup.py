@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,16 +49,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Chunk:
     """Words of some documents, one after another, as numbers."""
 
-    def __init__(self, keys: list[int | None], texts: list[str | None]):
-        self.keys = np.array([np.iinfo(np.int64).max if k is None else k for k in keys], np.int64)
-        self.words = [t.encode().split() if t else [] for t in texts]
-        self.ends = np.cumsum([len(w) for w in self.words])
-        self.begins = self.ends - [len(w) for w in self.words]
-        numbers: dict[bytes, int] = {}
-        flat = np.array([numbers.setdefault(w, len(numbers)) for ws in self.words for w in ws], np.int64)
-        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, numbers)), "<u8").reshape(-1, 2)
-        self.low, self.high = (digests[flat, i] if len(flat) else np.zeros(0, np.uint64) for i in (0, 1))
-        self.doc = np.repeat(np.arange(len(texts)), [len(w) for w in self.words])
+    def __init__(self, keys: pa.ChunkedArray, texts: pa.ChunkedArray):
+        self.keys = keys.combine_chunks().fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
+        lists = pc.ascii_split_whitespace(texts.combine_chunks().cast(pa.large_string()))
+        words, doc = pc.list_flatten(lists), pc.list_parent_indices(lists)
+        filled = pc.not_equal(words, "")
+        self.words = words.filter(filled)
+        self.doc = doc.filter(filled).to_numpy()
+        lengths = np.bincount(self.doc, minlength=len(self.keys))
+        self.ends = np.cumsum(lengths)
+        self.begins = self.ends - lengths
+        numbered = self.words.dictionary_encode()
+        digests = np.frombuffer(b"".join(
+            [xxhash.xxh3_128_digest(w) for w in numbered.dictionary.to_pylist()]), "<u8").reshape(-1, 2)
+        numbers = numbered.indices.to_numpy()
+        self.low, self.high = digests[numbers, 0], digests[numbers, 1]
 
     def symbols(self, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Names, documents, and the stretches [from, to) of words that decided them, in text order."""
@@ -122,7 +128,7 @@ class Work:
     """The three passes over a chunk; each builds on the answers to the one before."""
 
     def __init__(self, table: pa.Table, window: int, rounds: int, n_ranges: int):
-        self.chunk = Chunk(table.column("key").to_pylist(), table.column("text").to_pylist())
+        self.chunk = Chunk(table.column("key"), table.column("text"))
         self.window, self.n_ranges = window, n_ranges
         name, doc, frm, to = self.chunk.symbols(rounds)
         self.all_frm, self.all_to, self.all_name = frm, to, name
@@ -165,24 +171,18 @@ class Work:
         return [(r, self.first[a:b].tobytes() + self.second[a:b].tobytes() + self.smallest[a:b].tobytes())
                 for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
 
-    def kept(self, bits: np.ndarray) -> tuple[list[int], list[int], list[str]]:
+    def kept(self, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """Words, removed words and kept text of each document. ``bits``: a smaller document elsewhere has the window."""
-        if len(self.starts):
-            hit = self.starts[bits[self.number] | (self.own_keys > self.smallest[self.number])]
-        else:
-            hit = self.starts
-        n = len(self.chunk.doc)
+        chunk, n = self.chunk, len(self.chunk.doc)
+        hit = self.starts
+        if len(hit):
+            hit = hit[bits[self.number] | (self.own_keys > self.smallest[self.number])]
         depth = np.cumsum(np.bincount(hit, minlength=n + 1)[:n] - np.bincount(hit + self.window, minlength=n + 1)[:n])
-        gone = depth > 0
-        total, removed, texts = [], [], []
-        for words, a, b in zip(self.chunk.words, self.chunk.begins, self.chunk.ends):
-            own = gone[a:b]
-            total.append(len(words))
-            removed.append(int(own.sum()))
-            if removed[-1]:
-                words = [words[i] for i in np.flatnonzero(~own)]
-            texts.append(b" ".join(words).decode())
-        return total, removed, texts
+        stay = depth == 0
+        total = chunk.ends - chunk.begins
+        left = np.bincount(chunk.doc[stay], minlength=len(chunk.keys))
+        lists = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(left))), chunk.words.filter(pa.array(stay)))
+        return total, total - left, pc.binary_join(lists, pa.scalar(" ", pa.large_string()))
 
 
 PACKED = "chunk long, part long, kind int, data binary"
@@ -262,7 +262,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         work.candidates(_bits(answers, 0, len(work.names)))
         total, removed, texts = work.kept(_bits(answers, 1, len(work.first)))
         return pa.table({"key": table.column("key"), "n_words": pa.array(total, pa.int64()),
-                         "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(texts, pa.string())})
+                         "n_removed": pa.array(removed, pa.int64()), "kept": texts.cast(pa.string())})
 
     by_chunk = keyed.groupBy("chunk")
     names = by_chunk.applyInArrow(send_names, PACKED)
