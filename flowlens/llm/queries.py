@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import language_spans, order_minhash, sentencepiece_bpe, source_mix, substring_dedup
+from flowlens.llm import language_spans, odd_minhash, order_minhash, sentencepiece_bpe, source_mix, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,30 @@ FROM documents d LEFT JOIN summed USING (doc_id)""")
 def op9(spark, sf_dir):
     return substring_dedup.without_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256"))
+
+
+@register("op10_odd_minhash", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) >= 2 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])
+      ELSE ws END) AS s FROM words)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * n_both >= 80 * (a.n + b.n - n_both)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON e.x = r.other),
+comps AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT c.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM comps c LEFT JOIN sizes USING (doc_id)""")
+def op10(spark, sf_dir):
+    found = odd_minhash.near_duplicates(documents(spark, sf_dir), k=2)
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"),
+                        F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
