@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import language_spans, odd_minhash, order_minhash, sentencepiece_bpe, source_mix, substring_dedup
+from flowlens.llm import language_spans, ngram_trie, odd_minhash, order_minhash, sentencepiece_bpe, source_mix, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,6 +70,11 @@ def op4(spark, sf_dir):
                     F.coalesce("n_blocks", F.lit(0).cast("long")).alias("n_blocks"), "first_shard", "last_shard"))
 
 
+@register("op6_ngram_trie")
+def op6(spark, sf_dir):
+    return ngram_trie.score(documents(spark, sf_dir), in_fold(7, 2))
+
+
 @register("op8_language_spans")
 def op8(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", in_fold(4, 2))

@@ -28,6 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.llm.chunk_mail import SCHEMA, answers, mail, range_cuts
+
 WINDOW = 50
 ROUNDS = 5
 CHUNK_DOCS = 512
@@ -118,12 +120,6 @@ class Chunk:
         return out[0], (out[1] >> np.uint64(32)).astype(np.uint32)
 
 
-def _ranges(sorted_names: np.ndarray, n_ranges: int) -> np.ndarray:
-    """Where the names of each of ``n_ranges`` equal ranges of 64-bit numbers begin, and the end."""
-    edges = np.array([(i << 64) // n_ranges for i in range(n_ranges)], dtype=np.uint64)
-    return np.append(np.searchsorted(sorted_names, edges), len(sorted_names))
-
-
 class Work:
     """The three passes over a chunk; each builds on the answers to the one before."""
 
@@ -144,7 +140,7 @@ class Work:
         self.local[number[1:][(~new[1:]) & (docs[1:] != docs[:-1])]] = True
 
     def name_rows(self):
-        cuts = _ranges(self.names, self.n_ranges)
+        cuts = range_cuts(self.names, self.n_ranges)
         return [(r, self.names[a:b].tobytes()) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
 
     def candidates(self, bits: np.ndarray) -> None:
@@ -167,7 +163,7 @@ class Work:
         self.own_keys, self.first, self.second, self.smallest = keys, first[new], second[new], keys[order][new]
 
     def window_rows(self):
-        cuts = _ranges(self.first, self.n_ranges)
+        cuts = range_cuts(self.first, self.n_ranges)
         return [(r, self.first[a:b].tobytes() + self.second[a:b].tobytes() + self.smallest[a:b].tobytes())
                 for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
 
@@ -185,21 +181,9 @@ class Work:
         return total, total - left, pc.binary_join(lists, pa.scalar(" ", pa.large_string()))
 
 
-PACKED = "chunk long, part long, kind int, data binary"
-
-
-def _packed(chunk: int, rows: list[tuple[int, bytes]], kind: int) -> pa.Table:
-    return pa.table({
-        "chunk": pa.array([chunk] * len(rows), pa.int64()), "part": pa.array([r for r, _ in rows], pa.int64()),
-        "kind": pa.array([kind] * len(rows), pa.int32()), "data": pa.array([d for _, d in rows], pa.binary())})
-
-
-def _bits(answers: pa.Table, kind: int, n: int) -> np.ndarray:
+def _bits(heard: pa.Table, kind: int, n: int) -> np.ndarray:
     """Answers of all ranges in order, as one flag per number sent."""
-    rows = sorted((part, data) for part, own, data in zip(
-        answers.column("part").to_pylist(), answers.column("kind").to_pylist(), answers.column("data").to_pylist())
-        if own == kind)
-    flags = [np.frombuffer(data, bool) for _, data in rows]
+    flags = [np.frombuffer(data, bool) for _, data in answers(heard, kind)]
     out = np.concatenate(flags) if flags else np.zeros(0, bool)
     if len(out) != n:
         raise RuntimeError("answers do not match what the chunk sent")
@@ -250,25 +234,25 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
                         F.col(text).alias("text"))
 
     def send_names(of: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return _packed(of[0].as_py(), Work(table, window, rounds, n_ranges).name_rows(), 0)
+        return mail(of[0].as_py(), Work(table, window, rounds, n_ranges).name_rows(), 0)
 
-    def send_windows(of: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
+    def send_windows(of: tuple[pa.Scalar, ...], table: pa.Table, heard: pa.Table) -> pa.Table:
         work = Work(table, window, rounds, n_ranges)
-        work.candidates(_bits(answers, 0, len(work.names)))
-        return _packed(of[0].as_py(), work.window_rows(), 1)
+        work.candidates(_bits(heard, 0, len(work.names)))
+        return mail(of[0].as_py(), work.window_rows(), 1)
 
-    def keep(of: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
+    def keep(of: tuple[pa.Scalar, ...], table: pa.Table, heard: pa.Table) -> pa.Table:
         work = Work(table, window, rounds, n_ranges)
-        work.candidates(_bits(answers, 0, len(work.names)))
-        total, removed, texts = work.kept(_bits(answers, 1, len(work.first)))
+        work.candidates(_bits(heard, 0, len(work.names)))
+        total, removed, texts = work.kept(_bits(heard, 1, len(work.first)))
         return pa.table({"key": table.column("key"), "n_words": pa.array(total, pa.int64()),
                          "n_removed": pa.array(removed, pa.int64()), "kept": texts.cast(pa.string())})
 
     by_chunk = keyed.groupBy("chunk")
-    names = by_chunk.applyInArrow(send_names, PACKED)
-    shared = names.groupBy("part").applyInArrow(_shared_names, PACKED)
-    windows = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(send_windows, PACKED)
-    earlier = windows.groupBy("part").applyInArrow(_earlier_windows, PACKED)
+    names = by_chunk.applyInArrow(send_names, SCHEMA)
+    shared = names.groupBy("part").applyInArrow(_shared_names, SCHEMA)
+    windows = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(send_windows, SCHEMA)
+    earlier = windows.groupBy("part").applyInArrow(_earlier_windows, SCHEMA)
     done = by_chunk.cogroup(shared.unionByName(earlier).groupBy("chunk")).applyInArrow(
         keep, "key long, n_words long, n_removed long, kept string")
     return done.withColumnRenamed("key", key)
