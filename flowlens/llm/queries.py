@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import language_spans, ngram_trie, odd_minhash, order_minhash, sentencepiece_bpe, source_mix, substring_dedup
+from flowlens.llm import (
+    language_spans, link_trust, ngram_trie, odd_minhash, order_minhash, sentencepiece_bpe, source_mix, substring_dedup,
+    warc_fixity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +134,82 @@ def op10(spark, sf_dir):
     found = odd_minhash.near_duplicates(documents(spark, sf_dir), k=2)
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"),
                         F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def _pagerank_sql(iterations: int = 12, damping: str = "0.8") -> str:
+    """The iterations of both PageRanks, one table each."""
+    out = ["s0 AS (SELECT kind, host, seed AS score FROM seeds)"]
+    for i in range(1, iterations + 1):
+        out.append(f"""s{i} AS MATERIALIZED (SELECT kind, host, sum(score) AS score FROM (
+  SELECT kind, host, seed * (1 - {damping}) AS score FROM seeds UNION ALL
+  SELECT s.kind, e.dst, sum(s.score * e.share) * {damping} FROM s{i - 1} s JOIN steps e ON e.kind = s.kind AND e.host = s.host
+  GROUP BY 1, 2) GROUP BY 1, 2)""")
+    return ",\n".join(out)
+
+
+@register("op7_link_trust", r"""
+WITH parsed AS (
+  SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+rules(rhost, rpath, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+ruled AS (
+  SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS ruling
+  FROM parsed JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id),
+counted AS (SELECT ruling, host, count(*) AS n FROM ruled JOIN parsed USING (page_id) GROUP BY 1, 2),
+seeds AS (SELECT CASE ruling WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host,
+  n / sum(n) OVER (PARTITION BY ruling) AS seed FROM counted),
+links AS (SELECT DISTINCT page_id, host, unnest(regexp_extract_all(
+  coalesce(html, ''), '(?i)\shref\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)', 1)) AS dst FROM parsed),
+edges AS (SELECT host, lower(dst) AS dst, count(DISTINCT page_id) AS n FROM links
+  WHERE host <> '' AND lower(dst) <> host GROUP BY 1, 2),
+steps AS (
+  SELECT 'trust' AS kind, host, dst, n / sum(n) OVER (PARTITION BY host) AS share FROM edges UNION ALL
+  SELECT 'distrust', dst, host, n / sum(n) OVER (PARTITION BY dst) FROM edges),
+""" + _pagerank_sql() + """,
+scores AS (SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS trust,
+  coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS distrust FROM s12 GROUP BY host)
+SELECT page_id, p.host, p.path, rule, coalesce(ruling, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0)
+  THEN 'block' ELSE 'allow' END) AS verdict
+FROM parsed p LEFT JOIN ruled USING (page_id) LEFT JOIN scores s ON s.host = p.host""")
+def op7(spark, sf_dir):
+    return link_trust.judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op5_warc_fixity", r"""
+WITH records AS (
+  SELECT page_id, page_id // 500 AS file, strlen(
+    'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+    || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'Content-Length: '
+    || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)) + strlen(coalesce(html, '')) + 4 AS size
+  FROM pages),
+placed AS (
+  SELECT *, sum(size) OVER w AS finish, row_number() OVER (PARTITION BY file ORDER BY page_id DESC) AS from_end
+  FROM records WINDOW w AS (PARTITION BY file ORDER BY page_id))
+SELECT file, page_id AS seq, CAST(finish - size AS BIGINT) AS begin_byte, CAST(finish AS BIGINT) AS end_byte,
+  CASE WHEN file % 7 = 3 AND from_end = 1 THEN 'missing' ELSE 'changed' END AS damage
+FROM placed
+WHERE file % 7 = 3 AND from_end = 1 OR page_id % 211 = 7 OR page_id % 503 = 11
+UNION ALL
+SELECT file, page_id + 1, CAST(finish AS BIGINT), CAST(finish + 6 AS BIGINT), 'extra'
+FROM placed WHERE file % 11 = 2 AND from_end = 1""")
+def op5(spark, sf_dir):
+    """A drill: the second replica is the first with planted damage, of which the audit knows nothing. One byte of a record
+    is changed, a record is blank, the last record of a file is cut off, or a file has bytes at its end."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    good = pages.select(
+        F.expr("page_id div 500").alias("file"), F.col("page_id").alias("seq"),
+        warc_fixity.response_record(F.col("url"), F.col("html"), F.col("page_id")).alias("record"))
+    # Which record is the last of its file is found on the keys alone.
+    last = good.groupBy("file").agg(F.max("seq").alias("seq"))
+    cut = last.where("file % 7 = 3").select("file", "seq")
+    more = last.where("file % 11 = 2").select("file", F.col("seq") + 1, F.lit(b"\0" * 6).alias("record"))
+    size = F.length("record")
+    record = (F.when(F.col("seq") % 503 == 11, F.encode(F.repeat(F.lit(" "), size), "UTF-8"))
+              .when(F.col("seq") % 211 == 7, F.concat(F.substring("record", 1, 40), F.lit(b"~"),
+                                                      F.substring(F.col("record"), F.lit(42), size)))
+              .otherwise(F.col("record")))
+    bad = good.withColumn("record", record).join(cut, ["file", "seq"], "left_anti").unionByName(
+        more.toDF("file", "seq", "record"))
+    return warc_fixity.audit(good, bad)
