@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm import (
-    language_spans, link_trust, ngram_trie, odd_minhash, order_minhash, sentencepiece_bpe, source_mix, substring_dedup,
-    warc_fixity,
+    block_max_search, language_spans, link_trust, ngram_trie, odd_minhash, order_minhash, sentencepiece_bpe, source_mix,
+    substring_dedup, warc_fixity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,32 @@ def op1(spark, sf_dir):
         order_minhash.likeness("signature", "next_signature").alias("near_next"))
 
 
+@register("op2_block_max_search", r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS term FROM documents),
+lengths AS (SELECT doc_id, count(*) AS len FROM words GROUP BY doc_id),
+totals AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT count(*) FROM words) AS all_words),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+impacts AS (
+  SELECT doc_id, term, CAST(floor(1000000 * ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * (tf * (1.2::DOUBLE + 1)
+    / (tf + 1.2::DOUBLE * (1 - 0.75::DOUBLE + 0.75::DOUBLE * len / (all_words / n::DOUBLE))))) AS BIGINT) AS impact
+  FROM tf JOIN df USING (term) JOIN lengths USING (doc_id), totals),
+scores AS (
+  SELECT q.doc_id AS query_id, d.doc_id, CAST(sum(impact) AS BIGINT) AS score
+  FROM tf q JOIN impacts d USING (term) WHERE q.doc_id % 100 = 0 GROUP BY 1, 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""")
+def op2(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    index = block_max_search.build(docs)
+    queries = block_max_search.query_terms(docs.where(block_max_search.every(F.col("doc_id"))))
+    return block_max_search.search(index, queries).select(
+        F.col("query").alias("query_id"), "rank", F.col("key").alias("doc_id"), "score")
+
+
 @register("op3_sentencepiece")
 def op3(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
