@@ -1,14 +1,20 @@
-"""Corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
+"""Corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
+
+Columns other than those of ``documents`` are dropped by the first stage. An empty table passes through all stages; null
+and blank texts go with the first. What each stage does with ties, repeated rows and long texts is that of its operator.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import language_spans
+from flowlens.llm import language_spans, odd_minhash, sentencepiece_bpe, source_mix, substring_dedup
 from flowlens.session import staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +24,43 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
             .where(F.col("found.lang") != language_spans.UNKNOWN).select(*COLUMNS))
 
 
-STAGES = [("language identification", identify_language)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies, one row of it. Rows without an id stay."""
+    docs = docs.select(*COLUMNS)
+    found = odd_minhash.near_duplicates(docs)
+    first = found.where(F.col("doc_id") == F.col("component")).select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier document has; texts that lose nothing stay as they are."""
+    done = substring_dedup.without_repeats(docs.select(*COLUMNS), carry=("text", "lang", "source", "n_chars"))
+    cut = F.col("n_removed") > 0
+    return done.select("doc_id", F.when(cut, F.col("kept")).otherwise(F.col("text")).alias("text"), "lang", "source",
+                       F.when(cut, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents as often as the mix takes them."""
+    docs = docs.select(*COLUMNS)
+    _, _, blocks = source_mix.mix(docs, block_words=None)
+    return source_mix.taken_rows(docs, blocks)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and the text that they decode to."""
+    done = sentencepiece_bpe.round_trip(docs.select(*COLUMNS), TOKENIZER)
+    return done.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
+STAGES = [
+    ("language identification", identify_language),
+    ("near duplicates", drop_near_duplicates),
+    ("repeated passages", drop_repeated_passages),
+    ("source mix", mix_sources),
+    ("tokens", tokenize),
+]
 
 #: Models and tokenisers cannot be written in SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None

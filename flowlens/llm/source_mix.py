@@ -244,3 +244,17 @@ def mix(docs: DataFrame, block_words: int | None = BLOCK_WORDS, weights=WEIGHTS,
     blocks = placed.select("row", "doc_id", "text_key", "source_no", "block", "first_word", "words", "epoch", "shard",
                            (F.row_number().over(local) - 1).alias("position"))
     return sizes, plan, blocks
+
+
+def taken_rows(docs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as a mix of whole documents takes them.
+
+    Rows meet their draws by a hash of key and text; of repeated rows each gets the draws of one of them."""
+    key = F.xxhash64("doc_id", "text_key").alias("mix_key")
+    copies = (blocks.groupBy("row", key).agg(F.count("*").cast("int").alias("copies"))
+              .groupBy("mix_key").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("copies")))
+    nth = F.row_number().over(Window.partitionBy("mix_key").orderBy(F.lit(1)))
+    return (docs.withColumn("mix_key", F.xxhash64("doc_id", F.xxhash64("text"))).join(copies, "mix_key")
+            .withColumn("copies", F.coalesce(F.get("copies", nth - 1), F.lit(0)))
+            .withColumn("copies", F.explode(F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies")))))
+            .select(docs.columns))

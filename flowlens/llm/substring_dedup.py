@@ -16,7 +16,7 @@ all documents share costs each chunk one entry, and no group holds more than a r
 
 Edge cases: null, empty and blank texts have no words; texts shorter than a window keep all words; a null key counts as
 the largest; rows with equal keys do not remove each other's words, as neither key is smaller. Passages repeated
-within one document stay. Of the other columns none is used.
+within one document stay. Other columns are ignored, unless they are asked to be carried along.
 """
 
 from __future__ import annotations
@@ -226,12 +226,12 @@ def _answered(table: pa.Table, flags: np.ndarray, lengths: list[int]) -> pa.Tabl
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, rounds: int = ROUNDS,
-                    chunk_docs: int = CHUNK_DOCS) -> DataFrame:
-    """Per row: key, number of words, number removed, and the kept words joined by a space."""
+                    chunk_docs: int = CHUNK_DOCS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: key, number of words, number removed, and the kept words joined by a space; then the columns to carry."""
     n_chunks = max(1, -(-docs.count() // chunk_docs))
     n_ranges = max(LEAST_RANGES, n_chunks // 4)
     keyed = docs.select(F.pmod(F.xxhash64(key, text), F.lit(n_chunks)).alias("chunk"), F.col(key).cast("long").alias("key"),
-                        F.col(text).alias("text"))
+                        F.col(text).alias("text"), *[F.col(c).alias(f"carry_{c}") for c in carry])
 
     def send_names(of: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return mail(of[0].as_py(), Work(table, window, rounds, n_ranges).name_rows(), 0)
@@ -246,7 +246,8 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         work.candidates(_bits(heard, 0, len(work.names)))
         total, removed, texts = work.kept(_bits(heard, 1, len(work.first)))
         return pa.table({"key": table.column("key"), "n_words": pa.array(total, pa.int64()),
-                         "n_removed": pa.array(removed, pa.int64()), "kept": texts.cast(pa.string())})
+                         "n_removed": pa.array(removed, pa.int64()), "kept": texts.cast(pa.string()),
+                         **{c: table.column(f"carry_{c}") for c in carry}})
 
     by_chunk = keyed.groupBy("chunk")
     names = by_chunk.applyInArrow(send_names, SCHEMA)
@@ -254,5 +255,6 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     windows = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(send_windows, SCHEMA)
     earlier = windows.groupBy("part").applyInArrow(_earlier_windows, SCHEMA)
     done = by_chunk.cogroup(shared.unionByName(earlier).groupBy("chunk")).applyInArrow(
-        keep, "key long, n_words long, n_removed long, kept string")
+        keep, ", ".join(["key long, n_words long, n_removed long, kept string",
+                         *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]]))
     return done.withColumnRenamed("key", key)
