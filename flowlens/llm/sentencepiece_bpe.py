@@ -19,7 +19,6 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -62,18 +61,18 @@ class Model:
         # Nothing merges across a line end without a piece, nor from a word into following white space.
         ends = "" if "\n" in letters else "\n"
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}{ends}]+|{SPACE}+" + (f"|{ends}+" if ends else "")).findall
+        self.pairs: dict[int, bool] = {}
+        self.shorter: dict[int, int] = {}
+        self.seen: dict[str, bytes] = {}
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            self.automaton.add_word(piece, len(piece))
+        for piece, i in self.ids.items():
+            if self.merged(piece) == [piece]:  # else merging never makes it
+                self.automaton.add_word(piece, (len(piece) - 1, i))
         self.automaton.make_automaton()
         # Text of each id, with the white space mark resolved; byte pieces are resolved in runs, controls are silent.
         self.text = ["" if p.type == CONTROL else proto.trainer_spec.unk_surface if p.type == UNKNOWN
                      else p.piece.replace(SPACE, " ") for p in proto.pieces]
         self.is_byte = np.array([p.type == BYTE for p in proto.pieces])
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.shorter: dict[str, str] = {}
-        self.seen: dict[str, bytes] = {}
-        self.alone = lru_cache(None)(lambda piece: self.merged(piece) == [piece])
 
     def merged(self, text: str) -> list[str]:
         """Greedy merging of a few characters: best score first, leftmost of equals."""
@@ -88,53 +87,57 @@ class Model:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def fits(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            known = self.pairs[left, right] = self.merged(left + right) == [left, right]
+    def fits(self, left: int, right: int) -> bool:
+        """Whether merging the characters of both pieces again gives these two pieces."""
+        if len(self.pairs) >= REMEMBERED:
+            self.pairs.clear()
+        a, b = self.pieces[left], self.pieces[right]
+        known = self.pairs[left << 20 | right] = self.merged(a + b) == [a, b]
         return known
 
-    def next_shorter(self, piece: str) -> str:
-        """The longest proper start of ``piece`` that is a piece; empty if there is none."""
-        known = self.shorter.get(piece)
+    def next_shorter(self, i: int) -> int:
+        """The longest proper start of a piece that is a piece of the automaton; -1 if there is none."""
+        known = self.shorter.get(i)
         if known is None:
-            known = next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.ids), "")
-            self.shorter[piece] = known
+            piece = self.pieces[i]
+            known = self.shorter[i] = next(
+                (self.ids[piece[:n]] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.automaton), -1)
         return known
 
-    def backtracked(self, text: str) -> list[str]:
-        """Pieces of a text all of whose characters have a piece."""
-        longest = [1] * len(text)
-        for end, n in self.automaton.iter(text):
-            if n > longest[end - n + 1]:
-                longest[end - n + 1] = n
+    def backtracked(self, text: str) -> list[int]:
+        """Piece ids of a text all of whose characters have a piece."""
+        longest = [0] * len(text)
+        for end, (before, i) in self.automaton.iter(text):
+            longest[end - before] = i  # of matches with one start, the longest ends last
+        pieces, pairs, fits, shorter = self.pieces, self.pairs.get, self.fits, self.next_shorter
         failed = bytearray(len(text) // 8 + 1)
-        out: list[str] = []
-        at, piece = 0, text[:longest[0]]
+        out: list[int] = []
+        at, last, piece = 0, -1, longest[0]
         while True:
-            end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and self.alone(piece) and (not out or self.fits(out[-1], piece)):
-                out.append(piece)
-                if end == len(text):
-                    return out
-                at, piece = end, text[end:end + longest[end]]
-                continue
-            piece = self.next_shorter(piece)
-            if not piece:
+            end = at + len(pieces[piece])
+            if not failed[end >> 3] >> (end & 7) & 1:
+                fit = last < 0 or pairs(last << 20 | piece)
+                if fit is None:
+                    fit = fits(last, piece)
+                if fit:
+                    out.append(piece)
+                    if end == len(text):
+                        return out
+                    at, last, piece = end, piece, longest[end]
+                    continue
+            piece = shorter(piece)
+            while piece < 0:  # no piece is left here: take the left neighbour back
                 failed[at >> 3] |= 1 << (at & 7)
-                piece = self.next_shorter(last := out.pop())
-                at -= len(last)
-                while not piece:
-                    failed[at >> 3] |= 1 << (at & 7)
-                    piece = self.next_shorter(last := out.pop())
-                    at -= len(last)
+                at -= len(pieces[last])
+                piece = shorter(out.pop())
+                last = out[-1] if out else -1
 
     def chunk(self, text: str) -> bytes:
         """Ids of a chunk as packed 32-bit numbers."""
-        ids, run = array("i"), []
+        ids = array("i")
         for known, part in _by(text, self.letters):
             if known:
-                ids.extend(self.ids[p] for p in self.backtracked(part))
+                ids.extend(self.backtracked(part))
             else:
                 ids.extend(self.byte_ids[b] for b in part.encode())
         packed = ids.tobytes()
@@ -197,6 +200,11 @@ def _read(model_path: str) -> bytes:
     return raw
 
 
+def _lists(packed: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int64).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32), pa.int32()))
+
+
 def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with a column of piece ids (array of int) for every whole text."""
     raw = _read(model_path)
@@ -204,10 +212,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids")
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         own = model(raw)
-        packed = [own.encode(t) for t in texts.to_pylist()]
-        ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int64).astype(np.int32)
-        values = np.frombuffer(b"".join(packed), dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
+        return _lists([own.encode(t) for t in texts.to_pylist()])
 
     return df.withColumn(ids, encoded(F.col(text)))
 
@@ -219,8 +224,22 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", decoded: str = "dec
     @F.arrow_udf("string")
     def texts(lists: pa.Array) -> pa.Array:
         own = model(raw)
-        values = lists.values.to_numpy(zero_copy_only=False)
-        ends = lists.offsets.to_numpy()
+        values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
         return pa.array([own.decode(values[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.string())
 
     return df.withColumn(decoded, texts(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
+
+
+def round_trip(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` with one pass of the rows through Python."""
+    raw = _read(model_path)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        own = model(raw)
+        packed = [own.encode(t) for t in texts.to_pylist()]
+        back = pa.array([own.decode(np.frombuffer(p, dtype=np.int32)) for p in packed], pa.string())
+        return pa.StructArray.from_arrays([_lists(packed), back], names=["ids", "decoded"])
+
+    return df.withColumn("__both", both(F.col(text))).withColumns(
+        {ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
