@@ -70,7 +70,7 @@ def with_signature(df: DataFrame, text: str, out: str, k: int = K, vectors: int
     reached = F.aggregate(
         F.sequence(F.lit(0), F.ceil(F.log2(F.size(extra).cast("double"))).cast("int")), starts,
         lambda a, t: F.transform(a, lambda r, j: F.greatest(r, F.get(a, j - F.pow(F.lit(2.0), t).cast("int")))))
-    occurrence = F.transform(reached, lambda r, j: j - r + 1)
+    occurrence = F.transform(reached, lambda r, j: (j - r + 1).cast("long"))
     numbered = F.zip_with(F.col(extra), occurrence, lambda x, n: packed(F.xxhash64(hash_in(x), n), position_in(x)))
     firsts = F.filter(kmers, lambda x, i: (i == 0) | ~same_hash(x, F.get(F.col(kmers), i - 1)))
     df = df.withColumn(keyed, F.when(F.size(extra) == 0, F.col(kmers)).otherwise(F.sort_array(F.concat(firsts, numbered))))
