@@ -35,7 +35,7 @@ def response_record(url: Column, html: Column, key: Column) -> Column:
 def leaves(records: DataFrame) -> DataFrame:
     """File, offset, end and hash of every record, from ``file``, ``seq`` and ``record`` (bytes): a record
     starts where the one before it in its file ends."""
-    narrow = records.select("file", "seq", F.length(F.coalesce("record", F.lit(b""))).cast("long").alias("size"),
+    narrow = records.select(F.coalesce("file", F.lit(-1)).cast("long").alias("file"), "seq", F.length(F.coalesce("record", F.lit(b""))).cast("long").alias("size"),
                             F.sha2(F.coalesce("record", F.lit(b"")), 256).alias("hash"))
     order = Window.partitionBy("file").orderBy("seq", "hash").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum("size").over(order)
