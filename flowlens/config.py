@@ -24,7 +24,7 @@ class DriftConfig:
     ks_alpha: float = 0.01
     min_feature_drift_share: float = 0.20
     min_recent_rows: int = 5000
-    window_rows: int = 50000
+    window_hours: float = 24.0
     perf_min_f1: float = 0.85
     perf_min_rows: int = 500
 

@@ -79,7 +79,6 @@ RARE_CLASS_SHARE = 0.002
 # Bulk record defaults (every numeric defaults to 0.0 and must be >= 0).
 RECORD_TEXT_DEFAULTS = {"protocol": "tcp", "service": "http", "flag": "SF"}
 RECORD_UNIT_INTERVAL = ["same_srv_rate", "diff_srv_rate"]
-RECORD_LIMIT = 10000
 
 # TCP control bits.
 TCP_FIN, TCP_SYN, TCP_RST = 0x01, 0x02, 0x04

@@ -277,18 +277,25 @@ def exact_quantiles(
 
 
 def newest(df: DataFrame, time_column: str, n: int, *tie_break: str) -> DataFrame:
-    """The ``n`` rows with the latest time. The cutoff time is found first from that column alone,
-    so the final top-k sees about ``n`` rows and the cutoff can prune files."""
+    """The ``n`` rows with the latest time; of rows with the same time those with the largest ``tie_break``, then a hash
+    of the row. The cutoff is found first, in time and then among the rows of that time, so the final
+    top-k sees ``n`` rows and the cutoff can prune files."""
     micros = F.unix_micros(F.col(time_column).cast("timestamp"))
+    tie = F.shiftrightunsigned(F.xxhash64(*sorted(df.columns)), 12)
     total = df.count()
-    if total > n:
-        _, at = order_statistics(
-            df, {"t": micros}, [1.0 - n / total], lambda rows, _: [max(rows - n, 0)]
-        )
+    if total > n > 0:
+        _, at = order_statistics(df, {"t": micros}, [1.0 - n / total], lambda rows, _: [max(rows - n, 0)])
         kept = at["t"]
         if kept:
-            cutoff = F.timestamp_micros(F.lit(int(next(iter(kept.values()))))).cast(
-                df.schema[time_column].dataType
-            )
-            df = df.where(F.col(time_column) >= cutoff)
-    return df.orderBy(F.col(time_column).desc(), *[F.col(c).desc() for c in tie_break]).limit(n)
+            cutoff = F.lit(int(next(iter(kept.values()))))
+            if not tie_break:
+                later = df.where(micros > cutoff).count()
+                same = df.where(micros == cutoff)
+                ties, room = same.count(), n - later
+                if ties > room > 0:
+                    _, at = order_statistics(same, {"h": tie}, [1.0 - room / ties], lambda rows, _: [max(rows - room, 0)])
+                    least = F.lit(int(next(iter(at["h"].values()))))
+                    df = df.where((micros != cutoff) | (tie >= least))
+            bound = F.timestamp_micros(cutoff).cast(df.schema[time_column].dataType)
+            df = df.where(F.col(time_column) >= bound)
+    return df.orderBy(F.col(time_column).desc(), *[F.col(c).desc() for c in tie_break], tie.desc()).limit(n)

@@ -320,8 +320,8 @@ SELECT service, attack_type, CAST(count(*) AS BIGINT) AS n, round(sum(bytes_per_
 FROM fixed GROUP BY service, attack_type""")
 def dq_gate(spark, sf_dir):
     """The whole gate: cleaned rows by service and class, with the verdict."""
-    clean, report = quality.validate(flows(spark, sf_dir).select(*S.EXPECTED), fail_on_error=False)
+    clean, gate = quality.validate(flows(spark, sf_dir).select(*S.EXPECTED), fail_on_error=False)
     return clean.groupBy("service", S.LABEL).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("bytes_per_packet"), 2).alias("bytes_per_packet"),
-        F.lit(report.passed).alias("passed"), F.lit(report.duplicate_rows).cast("bigint").alias("duplicate_rows"),
+        F.lit(gate.accepted).alias("passed"), F.lit(gate.copies).cast("bigint").alias("duplicate_rows"),
     )

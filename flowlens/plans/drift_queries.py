@@ -113,8 +113,8 @@ live AS (SELECT CAST(count(*) AS BIGINT) AS window_rows FROM sides WHERE NOT is_
 
 @register("drift_verdict", f"""{VERDICT_SQL}, j AS (SELECT *, window_rows >= 5000 AS enough FROM agg, live)
 SELECT enough AND share >= 0.2 AS overall_drift, enough AND share >= 0.2 AS retrain_recommended,
- CASE WHEN enough THEN concat('feature_drift_share=', format('{{:.2f}}', share), ', perf_drift=False')
-  ELSE concat('insufficient live rows (', window_rows, ' < 5000)') END AS reason, window_rows,
+ CASE WHEN enough THEN concat(format('{{:.2f}}', share), ' of the features drifted, performance drift: false')
+  ELSE concat('too few live rows: ', window_rows, ' of 5000') END AS reason, window_rows,
  CASE WHEN enough THEN drifted ELSE '' END AS drifted_features, CASE WHEN enough THEN warned ELSE '' END AS warned_features,
  CASE WHEN enough THEN round(share, 4) ELSE 0e0 END AS feature_drift_share, false AS performance_drift FROM j""")
 def drift_verdict(spark, sf_dir):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +24,7 @@ def build_session(app: str = "flowlens", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``, or one of our own on local masters."""
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or one below the warehouse where it is not set."""
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir")
     if configured:
@@ -33,9 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="flowlens-"))
+    sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return sc.getCheckpointDir().rstrip("/")
 
 

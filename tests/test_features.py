@@ -8,7 +8,7 @@ from flowlens import schemas as S
 from flowlens.functions.columns import split_list, with_derived
 from flowlens.ml.preprocess import FlowPreprocessor, FlowPreprocessorModel
 from flowlens.session import scratch_path
-from flowlens.sources.files import check_request_size, parse_records, read_flows_csv, read_reference, split_records, write_batch_csv
+from flowlens.sources.files import parse_records, read_flows_csv, read_reference, split_records, write_batch_csv
 
 
 def test_derived_is_idempotent(small_flows):
@@ -71,10 +71,6 @@ def test_records(spark):
     assert got[1]["service"] == "dns" and got[5]["count"] == 7.0
     good, bad = split_records(parse_records(df, "body", "i"))
     assert good.count() == 3 and bad.count() == 7
-    check_request_size(10000)
-    for n in (0, 10001):
-        with pytest.raises(ValueError):
-            check_request_size(n)
 
 
 def test_split_list(spark):

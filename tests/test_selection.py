@@ -58,3 +58,7 @@ def test_newest_equals_sort(spark):
     want = sorted(range(5000), key=lambda i: (-(i % 700), -i))[:100]
     assert sorted(got) == sorted(want)
     assert newest(df, "ts", 10_000, "id").count() == 5000
+    stamped = df.withColumn("ts", F.lit("2024-01-01").cast("timestamp")).repartition(5)
+    first = sorted(r["id"] for r in newest(stamped, "ts", 100).collect())
+    again = sorted(r["id"] for r in newest(stamped.repartition(3), "ts", 100).collect())
+    assert first == again and len(first) == 100 and max(first) - min(first) > 2500  # not the rows of one partition
