@@ -50,13 +50,11 @@ def unit(*parts) -> Column:
 
 
 def log_factorial(n: Column) -> Column:
-    """Stirling's series at n + 9, carried down to n + 1."""
-    y = n.cast("double") + 9
-    down = F.lit(1.0)
-    for i in range(1, 9):
-        down = down * (n.cast("double") + i)
-    return ((y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * F.pow(y, F.lit(3.0)))
-            + 1 / (1260 * F.pow(y, F.lit(5.0))) - F.log(down))
+    """A table for small numbers, else Stirling's series."""
+    table = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(10)])
+    x = n.cast("double")
+    series = (x + 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + (1 - (1 / 30 - 1 / (105 * x * x)) / (x * x)) / (12 * x)
+    return F.when(n < 10, F.element_at(table, n.cast("int") + 1)).otherwise(series)
 
 
 def hypergeometric(good: Column, bad: Column, draws: Column, *seed: Column) -> Column:
@@ -188,7 +186,7 @@ def drawn_blocks(sizes: DataFrame, plan: DataFrame, block_words: int | None, see
 
 def split_quotas(quotas: DataFrame, n_sources: int, levels: int, seed: int) -> DataFrame:
     """Leaves of the splitting tree: shard and its number of blocks per source."""
-    node = quotas.select(F.lit(0).cast("long").alias("node"), "quota")
+    node = staged(quotas.select(F.lit(0).cast("long").alias("node"), "quota"), "mix-tree")
 
     def left_half(level: int) -> Column:
         total = F.aggregate("quota", F.lit(0).cast("long"), lambda a, q: a + q)
@@ -209,6 +207,7 @@ def split_quotas(quotas: DataFrame, n_sources: int, levels: int, seed: int) -> D
             F.struct((F.col("node") * 2).alias("node"), F.col("taken").alias("quota")),
             F.struct((F.col("node") * 2 + 1).alias("node"), F.zip_with("quota", "taken", lambda q, t: q - t).alias("quota")),
         )).alias("half")).select("half.*")
+        node = staged(node, "mix-tree")  # plans stay as small as one level
     return node.select(F.col("node").alias("shard"), F.posexplode("quota").alias("source_no", "n"))
 
 
