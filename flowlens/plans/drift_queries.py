@@ -81,6 +81,22 @@ def psi_numeric(spark, sf_dir):
     return rounded(O.psi_numeric(*sides(spark, sf_dir), S.MODEL_NUMERIC))
 
 
+@register("psi_without_values", f"""{BASE_SQL}
+SELECT feature, kind, n_ref, n_cur, 0e0 AS psi, CASE WHEN kind = 'numeric' THEN 1e0 END AS ks_p_value, 'ok' AS status FROM (
+ SELECT 'packet_rate' AS feature, 'numeric' AS kind, CAST(0 AS BIGINT) AS n_ref, CAST(0 AS BIGINT) AS n_cur
+ UNION ALL SELECT 'src_port_entropy', 'numeric', CAST(count(src_port_entropy) FILTER (WHERE is_ref) AS BIGINT), 0 FROM sides
+ UNION ALL SELECT 'failed_logins', 'numeric', 0, CAST(count(failed_logins) FILTER (WHERE NOT is_ref) AS BIGINT) FROM sides)""")
+def psi_without_values(spark, sf_dir):
+    """Numeric features without any value on both sides, on the live side, and on the reference side: they count as
+    analysed and have not drifted."""
+    reference, live = sides(spark, sf_dir)
+    none = F.lit(None).cast("double")
+    keep = ["packet_rate", "src_port_entropy", "failed_logins"]
+    reference = reference.select(*keep).withColumns({"packet_rate": none, "failed_logins": none})
+    live = live.select(*keep).withColumns({"packet_rate": none, "src_port_entropy": none})
+    return O.report_rows(O.feature_drift(reference, live))
+
+
 @register("psi_categorical", f"{BASE_SQL}, {CAT_SQL} SELECT feature, n_ref, n_cur, round(psi, 6) AS psi FROM psi_cat")
 def psi_categorical(spark, sf_dir):
     return rounded(O.psi_categorical(*sides(spark, sf_dir), S.CATEGORICAL))
@@ -126,6 +142,19 @@ def drift_verdict(spark, sf_dir):
     )
 
 
+@register("drift_verdict_small", f"""{BASE_SQL}
+SELECT false AS overall_drift, false AS retrain_recommended, 0e0 AS feature_drift_share, CAST(count(*) AS BIGINT) AS window_rows,
+ CASE WHEN count(*) = 0 THEN 'no live rows' ELSE concat('too few live rows: ', count(*), ' of 5000') END AS reason,
+ '' AS drifted_features FROM sides WHERE ship >= (SELECT max(ship) FROM sides) - INTERVAL 1 DAY""")
+def drift_verdict_small(spark, sf_dir):
+    """The verdict on the last day alone, a window that is too small to judge."""
+    reference, live = sides(spark, sf_dir)
+    recent = live.where(F.col("ship") >= live.agg(F.max("ship") - F.expr("INTERVAL 1 DAY")).scalar())
+    return O.drift_verdict(O.feature_drift(reference, recent), recent.count()).select(
+        "overall_drift", "retrain_recommended", "feature_drift_share", "window_rows", "reason",
+        F.array_join("drifted_features", ",").alias("drifted_features"))
+
+
 @register("drift_report", f"""{VERDICT_SQL}, j AS (SELECT *, window_rows >= 5000 AS enough FROM agg, live)
 SELECT window_rows, CASE WHEN enough THEN drifted ELSE '' END AS drifted_features,
  CASE WHEN enough THEN round(share, 4) ELSE 0e0 END AS feature_drift_share, false AS performance_drift,

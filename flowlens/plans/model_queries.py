@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from flowlens import schemas as S
@@ -317,6 +319,29 @@ def blend_corpus(spark, sf_dir):
     ).withColumn("pseudo_share", share)
 
 
+@register("adapted_corpus", f"""{FLOWS_SQL}, {TAGGED_SQL},
+scored AS (SELECT *, 1 - {HALF} AS confidence FROM tagged WHERE source = 'capture'),
+status AS (SELECT CAST(count(*) AS BIGINT) AS captured, CAST(count(*) FILTER (WHERE confidence >= 0.85) AS BIGINT) AS confident FROM scored),
+parts AS (
+ SELECT attack_type, least(count(*), 40) AS anchors, 0 AS pseudo FROM tagged WHERE source <> 'capture' GROUP BY 1
+ UNION ALL SELECT 'port_scan', 0, count(*) FROM scored WHERE confidence >= 0.85)
+SELECT attack_type, CAST(sum(anchors + pseudo) AS BIGINT) AS n, captured, confident, CAST(NULL AS VARCHAR) AS blocked_by,
+ 'captured' AS blocked_above, 'confident' AS blocked_strict
+FROM parts, status GROUP BY attack_type, captured, confident""")
+def adapted_corpus(spark, sf_dir):
+    """Class-balanced anchors with confident captured rows, by class, and both guards of the corpus."""
+    rows = _tagged(spark, sf_dir)
+    s = ((F.col("ok") * 13 + F.col("pk") * 7 + F.col("ln")) % 1000).cast("double") / 1000
+    scored = adapt.capture_rows(rows).withColumns({"confidence": 1 - s, "prediction": F.lit("port_scan")})
+    n_classes = rows.where(F.col("source") != "capture").select(S.LABEL).distinct().count()
+    cfg = AdaptConfig(min_rows=50, min_confidence=0.85, anchor_rows=40 * n_classes)
+    corpus = adapt.adapted_corpus(scored, rows.where(F.col("source") != "capture"), cfg)
+    status = adapt.corpus_status(scored, cfg).crossJoin(adapt.corpus_status(
+        scored, replace(cfg, min_rows=10**9)).select(F.col("blocked_by").alias("blocked_above"))).crossJoin(
+        adapt.corpus_status(scored, replace(cfg, min_confidence=2.0)).select(F.col("blocked_by").alias("blocked_strict")))
+    return corpus.groupBy(S.LABEL).agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(status))  # one row
+
+
 @register("whatif_shift", f"""{FLOWS_SQL}
 SELECT ok, ln, pk, CASE WHEN attack_type = 'normal' THEN least(greatest(src_bytes * 2.8, 40), 2e6) ELSE src_bytes END AS src_bytes,
  CASE WHEN attack_type = 'normal' THEN least(greatest(duration * 9.0, 0), 300) ELSE duration END AS duration,
