@@ -217,12 +217,12 @@ def binary_metrics(spark, sf_dir):
 g AS (SELECT *, (SELECT f1 FROM macro WHERE source = 'api') AS champion_f1 FROM macro)
 SELECT source, round(f1, 6) AS f1, f1 >= 0.6 AND precision >= 0.85 AND recall >= 0.85 AS gate_passed,
  f1 - champion_f1 >= 0.002 AS beats_champion,
- CASE WHEN f1 - champion_f1 >= 0.002 THEN concat('beats champion by ', format('{{:+.4f}}', f1 - champion_f1))
-  ELSE concat('improvement ', format('{{:+.4f}}', f1 - champion_f1), ' < 0.002') END AS compare_note,
+ CASE WHEN f1 - champion_f1 >= 0.002 THEN concat('F1 gain ', format('{{:+.4f}}', f1 - champion_f1))
+  ELSE concat('F1 gain ', format('{{:+.4f}}', f1 - champion_f1), ', wanted 0.002') END AS compare_note,
  f1 >= 0.6 AND precision >= 0.85 AND recall >= 0.85 AND f1 - champion_f1 >= 0.002 AS promoted,
- concat_ws('; ', CASE WHEN f1 < 0.6 THEN format('f1 {{:.4f}} < 0.6', f1) END,
-  CASE WHEN precision < 0.85 THEN format('precision {{:.4f}} < 0.85', precision) END,
-  CASE WHEN recall < 0.85 THEN format('recall {{:.4f}} < 0.85', recall) END) AS reasons FROM g""")
+ concat_ws('; ', CASE WHEN f1 < 0.6 THEN format('f1 is {{:.4f}}, the floor is 0.6', f1) END,
+  CASE WHEN precision < 0.85 THEN format('precision is {{:.4f}}, the floor is 0.85', precision) END,
+  CASE WHEN recall < 0.85 THEN format('recall is {{:.4f}}, the floor is 0.85', recall) END) AS reasons FROM g""")
 def promotion_gate(spark, sf_dir):
     """Every source's scores as a candidate against those of source api."""
     scored = metrics.macro_metrics(predictions(spark, sf_dir), "true_label", "attack_type", "source")
