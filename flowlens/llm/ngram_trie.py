@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.chunk_mail import SCHEMA, answers, mail, range_cuts, squeezed, steps, unsqueezed
+from flowlens.llm.worker_cache import clear
 
 PRIOR = 1000.0
 HOT = 1 << 18
@@ -37,30 +38,30 @@ CHUNK_DOCS = 1024
 LEAST_SHARDS = 64
 #: Probabilities are kept on a scale of 65 535 equal steps of log10 from -16 to 0; 0 stands for an unseen pair.
 LEVELS, LOWEST = 65535, -16.0
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _END = np.uint64(xxhash.xxh3_64_intdigest(b" end"))  # no word holds a space
 _START = np.uint64((1 << 64) - 1)
 
 
 class EliasFano:
-    """A monotone sequence in low bits, packed, and high bits in unary, with counts per 64 bits for selection."""
+    """A monotone sequence: low bits in whole bytes, high bits in unary, with counts per 64 bits for selection."""
 
-    def __init__(self, low_bits: int, size: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
-        self.low_bits, self.size, self.low, self.high, self.ones = low_bits, size, low, high, ones
+    def __init__(self, size: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
+        self.size, self.high, self.ones = size, high, ones
+        self.planes = low.reshape(-1, size) if size else low.reshape(0, 0)
+        self.low_bits = 8 * len(self.planes)
 
     @staticmethod
     def of(values: np.ndarray) -> EliasFano:
         values = values.astype(np.uint64)
         n, top = len(values), int(values[-1]) if len(values) else 0
-        low_bits = max(0, ((top + 1) // max(n, 1)).bit_length() - 1)
-        shifts = np.arange(low_bits, dtype=np.uint64)
-        low = np.packbits(((values[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
-        at = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
+        planes = -(-max(0, ((top + 1) // max(n, 1)).bit_length() - 1) // 8)
+        low = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(n, 8)[:, :planes].T)
+        at = (values >> np.uint64(8 * planes)).astype(np.int64) + np.arange(n)
         bits = np.zeros(-(-(int(at[-1]) + 2 if n else 1) // 64) * 64, np.uint8)
         bits[at] = 1
         high = np.packbits(bits, bitorder="little").view(np.uint64)
         ones = np.append(0, np.cumsum(np.bitwise_count(high))).astype(np.int64)
-        return EliasFano(low_bits, n, np.append(low, np.zeros(8, np.uint8)), high, ones)
+        return EliasFano(n, low.ravel(), high, ones)
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Position of the k-th one or zero in the high bits."""
@@ -79,14 +80,10 @@ class EliasFano:
         return word * 64 + at.astype(np.int64)
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
-        if not self.low_bits:
-            return np.zeros(len(i), np.uint64)
-        bit = i * self.low_bits
-        byte = bit >> 3
         out = np.zeros(len(i), np.uint64)
-        for j in range(8):
-            out |= self.low[np.minimum(byte + j, len(self.low) - 1)].astype(np.uint64) << np.uint64(8 * j)
-        return (out >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.low_bits) - 1)
+        for j, plane in enumerate(self.planes):
+            out |= plane[i].astype(np.uint64) << np.uint64(8 * j)
+        return out
 
     def get(self, i: np.ndarray) -> np.ndarray:
         i = i.astype(np.int64)
@@ -106,23 +103,26 @@ class EliasFano:
         at[later] = self._select(high[later] - 1, False) + 1 - high[later]
         end = np.zeros(len(values), np.int64)
         end[inside] = self._select(high[inside], False) - high[inside]
+        # Binary search by the low bits among the positions with these high bits.
         low = values & np.uint64((1 << self.low_bits) - 1)
-        open_ = np.flatnonzero(inside & (at < end))
+        stop, open_ = end.copy(), np.flatnonzero(inside & (at < end))
         while len(open_):
-            own = self._lows(at[open_])
-            hit = own == low[open_]
-            out[open_[hit]] = at[open_[hit]]
-            open_ = open_[own < low[open_]]
-            at[open_] += 1
+            middle = (at[open_] + end[open_]) >> 1
+            less = self._lows(middle) < low[open_]
+            at[open_[less]] = middle[less] + 1
+            end[open_[~less]] = middle[~less]
             open_ = open_[at[open_] < end[open_]]
+        there = np.flatnonzero(inside & (at < stop))
+        hit = there[self._lows(at[there]) == low[there]]
+        out[hit] = at[hit]
         return out
 
     def arrays(self) -> list[np.ndarray]:
-        return [np.array([self.low_bits, self.size], np.int64), self.low, self.high, self.ones]
+        return [np.array([self.size], np.int64), self.planes.ravel(), self.high, self.ones]
 
     @staticmethod
-    def from_arrays(meta: np.ndarray, low: np.ndarray, high: np.ndarray, ones: np.ndarray) -> EliasFano:
-        return EliasFano(int(meta[0]), int(meta[1]), low, high, ones)
+    def from_arrays(size: np.ndarray, low: np.ndarray, high: np.ndarray, ones: np.ndarray) -> EliasFano:
+        return EliasFano(int(size[0]), low, high, ones)
 
 
 _TYPES = [np.uint64, np.uint64, np.int64, np.uint8, np.uint64, np.int64, np.int64, np.uint8, np.uint64, np.int64, np.uint16]
@@ -190,8 +190,8 @@ class Chunk:
     """Tokens of some documents as numbers of the chunk's sorted distinct words, the end token included."""
 
     def __init__(self, table: pa.Table):
-        texts = pa.array([None if t is None else t.encode().translate(_LOWER) for t in table.column("text").to_pylist()],
-                         pa.large_binary()).cast(pa.large_string())
+        clear()
+        texts = pc.ascii_lower(table.column("text")).cast(pa.large_string()).combine_chunks()
         held = table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         lists = pc.ascii_split_whitespace(texts)
         words, doc = pc.list_flatten(lists), pc.list_parent_indices(lists)
@@ -283,15 +283,18 @@ def _shard(prior: float):
         rows = [unsqueezed(d) for d in table.column("data").to_pylist()]
         context, word = (np.concatenate([np.cumsum(r[i], dtype=np.uint64) for r in rows]) for i in (0, 1))
         count, total = (np.concatenate([r[i] for r in rows]).astype(np.int64) for i in (2, 3))
-        seen = np.flatnonzero(count)
-        seen = seen[np.lexsort((word[seen], context[seen]))]
-        c, w = context[seen], word[seen]
-        new = np.flatnonzero(np.append(True, (c[1:] != c[:-1]) | (w[1:] != w[:-1]))) if len(seen) else seen
-        share = np.add.reduceat(count[seen], new) / (total[seen][new] + prior) if len(seen) else np.zeros(0)
-        trie = Trie.build(c[new], w[new], share)
+        order = np.lexsort((word, context))
+        c, w = context[order], word[order]
+        new = np.append(True, (c[1:] != c[:-1]) | (w[1:] != w[:-1]))
+        pair = np.empty(len(order), np.int64)
+        pair[order] = np.cumsum(new) - 1
+        c, w, total = c[new], w[new], total[order][new]
+        summed = np.add.reduceat(count[order], np.flatnonzero(new))
+        seen = summed > 0
+        trie = Trie.build(c[seen], w[seen], summed[seen] / (total[seen] + prior))
+        codes = trie.look_up(c, w)[pair]  # every pair that was sent, learned from or not, once
         ends = np.cumsum([len(r[0]) for r in rows])
-        parts = [(p, squeezed(codes)) for p, codes in zip(
-            table.column("part").to_pylist(), np.split(trie.look_up(context, word), ends[:-1]))]
+        parts = [(p, squeezed(own)) for p, own in zip(table.column("part").to_pylist(), np.split(codes, ends[:-1]))]
         return mail(table.column("chunk").to_pylist(), parts, 2)
 
     return look_up
