@@ -19,6 +19,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterable
 from typing import Any
 
 import numpy as np
@@ -27,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.llm.worker_cache import clear, kept
+
 BUCKETS = 1 << 15
 SAMPLE_DOCS = 16_000
 SWITCH_PENALTY = 9.0
@@ -74,6 +77,7 @@ def grams(letters: str) -> list[int]:
 
 def _counts(batches):
     """Dense counts per language of a task's rows: buckets, then scripts."""
+    clear()
     words: dict[str, Counter] = {}
     for batch in batches:
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
@@ -158,7 +162,7 @@ LABELLED = "struct<lang:string,score:double,spans:array<struct<first:int,last:in
 _SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("lang", pa.string())]))
 
 
-def label_texts(model: Model, texts: list[str | None], penalty: float) -> tuple[list, list, list]:
+def label_texts(model: Model, texts: Iterable[str | None], penalty: float) -> tuple[list, list, list]:
     langs, shares, spans = [], [], []
     block: list[list[str]] = []
 
@@ -191,9 +195,6 @@ def label_texts(model: Model, texts: list[str | None], penalty: float) -> tuple[
     return langs, shares, spans
 
 
-_workers: dict[int, Model] = {}
-
-
 def fit(labelled: DataFrame, key: Column, sample_docs: int = SAMPLE_DOCS) -> tuple[list[str], np.ndarray]:
     """Counts learned from ``text`` and ``lang`` of a sample by the hash of ``key``; one row per language comes back."""
     usable = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
@@ -217,10 +218,8 @@ def label(df: DataFrame, fitted: tuple[list[str], np.ndarray], text: str = "text
 
     @F.arrow_udf(LABELLED)
     def labelled(texts: pa.Array) -> pa.Array:
-        if stamp not in _workers:
-            _workers.clear()
-            _workers[stamp] = Model(*shipped.value)
-        names, shares, spans = label_texts(_workers[stamp], texts.to_pylist(), penalty)
+        model = kept(("languages", stamp), lambda: Model(*shipped.value))
+        names, shares, spans = label_texts(model, (t.as_py() for t in texts), penalty)
         return pa.StructArray.from_arrays(
             [pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, _SPANS)],
             names=["lang", "score", "spans"])

@@ -27,14 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
+from flowlens.llm.worker_cache import kept
+
 SPACE = "▁"
 #: Chunks that a worker remembers, and the longest of them.
 REMEMBERED, LONGEST = 400_000, 48
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
-_models: dict[str, Model] = {}
-
-
 class Model:
     """Vocabulary with the memory of pair checks and of chunks seen, one for each worker."""
 
@@ -186,10 +185,7 @@ def _by(text: str, letters: set[str]) -> list[tuple[bool, str]]:
 
 
 def model(raw: bytes) -> Model:
-    key = hashlib.sha1(raw).hexdigest()
-    if key not in _models:
-        _models[key] = Model(raw)
-    return _models[key]
+    return kept(("pieces", hashlib.sha1(raw).hexdigest()), lambda: Model(raw))
 
 
 def _read(model_path: str) -> bytes:
@@ -212,7 +208,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids")
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         own = model(raw)
-        return _lists([own.encode(t) for t in texts.to_pylist()])
+        return _lists([own.encode(t.as_py()) for t in texts])
 
     return df.withColumn(ids, encoded(F.col(text)))
 
@@ -237,8 +233,8 @@ def round_trip(df: DataFrame, model_path: str, text: str = "text", ids: str = "i
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
     def both(texts: pa.Array) -> pa.Array:
         own = model(raw)
-        packed = [own.encode(t) for t in texts.to_pylist()]
-        back = pa.array([own.decode(np.frombuffer(p, dtype=np.int32)) for p in packed], pa.string())
+        packed = [own.encode(t.as_py()) for t in texts]
+        back = pa.array((own.decode(np.frombuffer(p, dtype=np.int32)) for p in packed), pa.string())
         return pa.StructArray.from_arrays([_lists(packed), back], names=["ids", "decoded"])
 
     return df.withColumn("__both", both(F.col(text))).withColumns(

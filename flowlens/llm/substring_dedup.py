@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.chunk_mail import SCHEMA, answers, mail, range_cuts
+from flowlens.llm.worker_cache import clear
 
 WINDOW = 50
 ROUNDS = 5
@@ -124,6 +125,7 @@ class Work:
     """The three passes over a chunk; each builds on the answers to the one before."""
 
     def __init__(self, table: pa.Table, window: int, rounds: int, n_ranges: int):
+        clear()
         self.chunk = Chunk(table.column("key"), table.column("text"))
         self.window, self.n_ranges = window, n_ranges
         name, doc, frm, to = self.chunk.symbols(rounds)
