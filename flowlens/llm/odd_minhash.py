@@ -6,8 +6,9 @@ similarity, so that hopeless pairs go before any text is read. What is left is c
 
 Documents with equal sets are one class from the start. A band's bucket is not paired out: first every class is compared
 with the first class of its bucket, and confirmed links are merged into components. Buckets that still hold several
-components compare each class with one other class drawn for the bucket, and at last all pairs of classes from
-different components in a bucket, so no link that changes a component is missed, while copies of one text never meet in pairs.
+components compare each class with one other class drawn for the bucket. What is then still open, classes that share a
+bucket across components, is joined by an exact prefix index over their sets. So no proposed link that changes a component
+is missed, while near copies of one text do not meet in pairs.
 
 With 32 bands of 5 rows a pair of similarity 0.8 is proposed with probability 1 - 3e-6, and the sketch drops it with a
 probability below 1e-6; more similar pairs do better.
@@ -25,9 +26,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlens.llm.worker_cache import clear
 from flowlens.session import staged
 
 BANDS, ROWS = 32, 5
@@ -38,8 +40,6 @@ SIMILARITY = 80
 LEAST_ESTIMATE = 0.6
 SEED = 7
 _ODD, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-#: A-Z to a-z; bytes of other characters are all above 127.
-_TABLE = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -50,8 +50,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Document numbers and hashes of the distinct runs of ``k`` words, by document and hash."""
-    lowered = pa.array([None if t is None else t.encode().translate(_TABLE) for t in texts.to_pylist()], pa.large_binary())
-    lists = pc.ascii_split_whitespace(lowered.cast(pa.large_string()))
+    # Lower-cased first: a slice that is cast keeps offsets that the kernel does not take.
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts).cast(pa.large_string()))
     words, doc = pc.list_flatten(lists), pc.list_parent_indices(lists)
     filled = pc.not_equal(words, "")
     numbered = words.filter(filled).dictionary_encode()
@@ -115,6 +115,7 @@ SIGNED = "key long, n_shingles long, set_a long, set_b long, bands array<long>,
 def signatures(docs: DataFrame, key: str, text: str, k: int, bands: int, rows: int) -> DataFrame:
     """A row per document: size and hash of its set, band hashes and odd sketch (null for an empty set)."""
     def signed(batches):
+        clear()
         hashes = Hashes(bands, rows)
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
@@ -175,6 +176,51 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int, si
     return staged(pairs.join(left, "a").join(right, "b").where(similar("text_a", "text_b")).select("a", "b").distinct(), "near-links")
 
 
+def prefix_pairs(open_: DataFrame, docs: DataFrame, key: str, text: str, k: int, similarity: int) -> DataFrame:
+    """Pairs (a, b) of rows of ``open_`` (key, component) from different components that can still be similar enough.
+
+    The runs of a set are put in the order of how many open documents have them, rarest first. Similar sets share a
+    run near the start of both, and what follows it must be long enough on both sides. In a group of near copies the start
+    holds each copy's own edits, so only copies that share edits meet."""
+    def least(n: Column, m: Column) -> Column:
+        """Runs that sets of these sizes must share."""
+        return F.floor((similarity * (n + m) + 99 + similarity) / (100 + similarity))
+
+    @F.arrow_udf("array<long>")
+    def runs(texts: pa.Array) -> pa.Array:
+        doc, total = shingles(texts, k)
+        ends = np.append(0, np.cumsum(np.bincount(doc, minlength=len(texts)))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(total.view(np.int64)))
+
+    ids = staged(open_.select("key", "component").distinct().coalesce(8), "near-open-ids")
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(ids, "key")
+    sets = staged(rows.select("key", "component", runs("text").alias("runs")), "near-sets")
+    token = sets.select("key", "component", F.size("runs").alias("n"), F.explode("runs").alias("run"))
+    spread = staged(token.groupBy("run").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+                    .where("df > 1"), "near-runs")
+    order = Window.partitionBy("key").orderBy(F.coalesce("df", F.lit(1)), "run")
+    start = (token.join(spread, "run", "left").withColumn("at", F.row_number().over(order) - 1)
+             .where((F.col("at") <= F.col("n") - F.ceil(F.col("n") * similarity / 100)) & (F.col("lo") < F.col("hi")))
+             .select("key", "component", "n", "run", "at"))
+    # What is left of a row after the run must do for the smallest partner that the run has.
+    start = staged(start, "near-starts")
+    for _ in range(2):
+        size = start.groupBy("run").agg(F.min("n").alias("small"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        start = (start.join(size.where("lo < hi"), "run")
+                 .where(F.col("n") - F.col("at") >= least(F.col("n"), F.greatest("small", F.ceil(F.col("n") * similarity / 100))))
+                 .select("key", "component", "n", "run", "at"))
+    start = staged(start, "near-starts")
+    # The component with most rows of a run is not compared with itself.
+    most = start.groupBy("run", "component").agg(F.count("*").alias("rows")).groupBy("run").agg(
+        F.max(F.struct("rows", "component"))["component"].alias("main"))
+    sides = start.join(most, "run").where("component <> main").select(
+        "run", F.col("key").alias("a"), F.col("component").alias("of_a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"))
+    bound = least(F.col("n"), F.col("n_a"))
+    return (start.join(sides, "run").where(
+        (F.col("component") != F.col("of_a")) & (F.col("n") - F.col("at") >= bound) & (F.col("n_a") - F.col("at_a") >= bound))
+        .select("a", F.col("key").alias("b")))
+
+
 def components(links: DataFrame) -> DataFrame:
     """Key and smallest key reachable, for keys with links: large and small stars in turn until nothing changes.
     Each round is a pre-aggregated minimum and a join, so a key with many links is no single task's work."""
@@ -226,15 +272,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
         several = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
         open_ = staged(named.join(several.select("band"), "band", "left_semi"), "near-open")
         if last:
-            other = open_.select("band", F.col("key").alias("a"), F.col("component").alias("of_a"))
-            pairs = open_.join(other, "band").where("component < of_a")
+            pairs = prefix_pairs(open_, docs, key, text, k, similarity)
         else:
             # One class per bucket, another one in each bucket, so that a class meets several.
             order = F.struct(F.xxhash64("key", "band").alias("order"), "key", "component")
             drawn = staged(open_.groupBy("band").agg(F.min(order).alias("drawn")).select(
                 "band", F.col("drawn.key").alias("a"), F.col("drawn.component").alias("of_a")), "near-drawn")
-            pairs = open_.join(drawn, "band").where("component <> of_a")
-        more = check(pairs.select("a", F.col("key").alias("b")))
+            pairs = open_.join(drawn, "band").where("component <> of_a").select("a", F.col("key").alias("b"))
+        more = check(pairs)
         links = links.unionByName(more)
         if more.limit(1).count():
             found = components(links)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,6 +169,13 @@ def test_components_of_paths_and_stars(spark):
     assert all(got[i] == 0 for i in range(1, 41)) and all(got[100 + i] == 100 for i in range(1, 60))
 
 
+def test_shingles_of_a_slice_equal_those_of_its_rows():
+    texts = pa.array([f"Word{i} und été W{i % 7} {i}" for i in range(50)] + [None, ""])
+    whole, part = odd_minhash.shingles(texts, 2), odd_minhash.shingles(texts.slice(30, 15), 2)
+    inside = (whole[0] >= 30) & (whole[0] < 45)
+    assert (whole[0][inside] - 30).tolist() == part[0].tolist() and whole[1][inside].tolist() == part[1].tolist()
+
+
 def test_odd_sketch_estimates(spark):
     hashes = odd_minhash.Hashes(odd_minhash.BANDS, odd_minhash.ROWS)
     rng = np.random.default_rng(0)
