@@ -27,22 +27,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.llm.chunk_mail import SCHEMA, answers, mail, range_cuts, squeezed, unsqueezed
+from flowlens.llm.worker_cache import clear
 from flowlens.session import staged
 
 K1, B = 1.2, 0.75
 SCALE = 1_000_000
-SHARD_DOCS, BLOCK = 4096, 64
+SHARD_DOCS, BLOCK = 2048, 4
+SHARDS_PER_TASK, QUERIES_AT_ONCE = 16, 256
 #: Share of a shard's documents from which on a term is frequent.
 DENSE = 0.04
 QUERY_TERMS = 2_000_000
 LEAST_RANGES = 64
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Document numbers and 64-bit term numbers of all words, in text order."""
-    lowered = pa.array([None if t is None else t.encode().translate(_LOWER) for t in texts], pa.large_binary())
-    lists = pc.ascii_split_whitespace(lowered.cast(pa.large_string()))
+    # Lower-cased first: a slice that is cast keeps offsets that the kernel does not take.
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts).cast(pa.large_string()))
     words, doc = pc.list_flatten(lists), pc.list_parent_indices(lists)
     filled = pc.not_equal(words, "")
     coded = words.filter(filled).dictionary_encode()
@@ -54,8 +55,9 @@ class Postings:
     """Terms of a shard's documents, with how often each document has them."""
 
     def __init__(self, table: pa.Table):
+        clear()
         self.keys = table.column("key").to_numpy()
-        doc, term = tokens(table.column("text").to_pylist())
+        doc, term = tokens(table.column("text").combine_chunks())
         self.lengths = np.bincount(doc, minlength=len(self.keys))
         self.terms, number = np.unique(term, return_inverse=True)
         pair, self.tf = np.unique(number * len(self.keys) + doc, return_counts=True)
@@ -87,44 +89,58 @@ class Index:
         begin = np.append(0, np.cumsum(df.astype(np.int64)))
         frequent = df >= max(DENSE * n, 8)
         self.row = np.where(frequent, np.cumsum(frequent) - 1, -1)
-        self.rows = np.zeros((int(frequent.sum()), self.n_blocks * BLOCK), np.int64)
         own = np.repeat(self.row, df)
-        self.rows[own[own >= 0], doc[own >= 0]] = impact[own >= 0]
-        self.maxima = self.rows.reshape(len(self.rows), self.n_blocks, BLOCK).max(2) if n else self.rows
+        dense = own >= 0
+        # Impacts of frequent terms by document, and their largest in every block of neighbouring documents.
+        n_dense = int(frequent.sum())
+        self.by_doc = np.zeros((self.n_blocks * BLOCK, n_dense), np.int32)
+        self.by_doc[doc[dense], own[dense]] = impact[dense]
+        self.maxima = self.by_doc.reshape(self.n_blocks, BLOCK, n_dense).max(1, initial=0).T.astype(float)
         self.begin, self.end, self.doc, self.impact = begin[:-1], begin[1:], doc.astype(np.int64), impact.astype(np.int64)
 
-    def top(self, terms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and scores of the ``k`` best documents that share a term."""
-        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def find(self, terms: np.ndarray) -> np.ndarray:
+        """Place of each of the sorted terms in the index; -1 for one that it lacks."""
         if not len(self.terms):
-            return none
+            return np.full(len(terms), -1)
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        at = at[self.terms[at] == terms]
+        return np.where(self.terms[at] == terms, at, -1)
+
+    def top(self, places: list[np.ndarray], k: int, least: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For every query, given by the places of its terms, keys and scores of the ``k`` best documents that have one of
+        them and score ``least`` or more."""
+        out = []
+        for at in range(0, len(places), QUERIES_AT_ONCE):
+            group = [p[p >= 0] for p in places[at:at + QUERIES_AT_ONCE]]
+            asks = np.zeros((len(group), len(self.maxima)))
+            for q, p in enumerate(group):
+                rows = self.row[p]
+                asks[q, rows[rows >= 0]] = 1
+            # What frequent terms can add to a document of a block; sums of whole numbers below 2**53 are exact.
+            bounds = asks @ self.maxima
+            out += [self._best(p, bound, k, low) for p, bound, low in zip(group, bounds, least[at:at + QUERIES_AT_ONCE])]
+        return out
+
+    def _best(self, at: np.ndarray, bound: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
         if not len(at):
-            return none
-        rows, rare = self.row[at], at[self.row[at] < 0]
-        rows = rows[rows >= 0]
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        rows = self.row[at]
+        rows, rare = rows[rows >= 0], at[rows < 0]
         n = len(self.keys)
         lengths = self.end[rare] - self.begin[rare]
         flat = np.arange(lengths.sum()) + np.repeat(self.begin[rare] - (np.cumsum(lengths) - lengths), lengths)
-        part = np.zeros(self.n_blocks * BLOCK, np.int64)
-        np.add.at(part, self.doc[flat], self.impact[flat])
-        bound = part.reshape(-1, BLOCK) + self.maxima[rows].sum(0)[:, None] if len(rows) else part.reshape(-1, BLOCK)
-        bound = bound.ravel()[:n]
+        part = np.bincount(self.doc[flat], weights=self.impact[flat], minlength=self.n_blocks * BLOCK)
+        reach = (part.reshape(-1, BLOCK) + bound[:, None]).ravel()[:n]
 
         def full(docs: np.ndarray) -> np.ndarray:
-            return part[docs] + (self.rows[rows[:, None], docs].sum(0) if len(rows) else 0)
+            return part[docs].astype(np.int64) + self.by_doc[docs[:, None], rows].sum(1, dtype=np.int64)
 
         if n > 4 * k:
             # Promising documents give the threshold; every document that can reach it is scored in full.
-            first = np.argpartition(bound, n - 4 * k)[n - 4 * k:]
-            scores = full(first)
-            threshold = np.partition(scores, len(scores) - k)[len(scores) - k]
-            docs = np.flatnonzero(bound >= max(threshold, 1))
-        else:
-            docs = np.flatnonzero(bound > 0)
+            scores = full(np.argpartition(reach, n - 4 * k)[n - 4 * k:])
+            least = max(least, int(np.partition(scores, len(scores) - k)[len(scores) - k]))
+        docs = np.flatnonzero(reach >= max(least, 1))
         scores = full(docs)
-        docs, scores = docs[scores > 0], scores[scores > 0]
+        docs, scores = docs[scores >= max(least, 1)], scores[scores >= max(least, 1)]
         best = np.lexsort((self.keys[docs], -scores))[:k]
         return self.keys[docs[best]], scores[best]
 
@@ -164,7 +180,7 @@ def query_terms(queries: DataFrame, key: str = "doc_id", text: str = "text") ->
     """Key and distinct term numbers of every query."""
     @F.arrow_udf("array<long>")
     def terms(texts: pa.Array) -> pa.Array:
-        doc, term = tokens(texts.to_pylist())
+        doc, term = tokens(texts)
         lists = [np.unique(own).view(np.int64) for own in np.split(term, np.searchsorted(doc, np.arange(1, len(texts))))]
         return pa.array(lists, pa.list_(pa.int64()))
 
@@ -178,6 +194,9 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, query_terms_at_onc
     blocks = max(1, -(-terms // query_terms_at_once))
     dealt = staged(queries.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))), "search-dealt")
     spark, found = index.sparkSession, None
+    # A task searches several shards and returns its best, so that few rows are merged.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-index.count() // SHARDS_PER_TASK))
+    shards = index.select("data").repartition(tasks)
     for block in range(blocks):
         own = dealt.where(F.col("block") == block).select("query", "row", "terms").toArrow()
         sent = spark.sparkContext.broadcast((
@@ -187,17 +206,28 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, query_terms_at_onc
 
         def run(batches, sent=sent):
             keys, rows, ends, terms = sent.value
+            none = np.zeros(0, np.int64)
+            best = [(none, none)] * len(keys)
+            asked, number = np.unique(terms, return_inverse=True)
             for batch in batches:
-                for data in batch.column("data").to_pylist():
-                    shard = Index(data)
-                    hits = [shard.top(terms[a:b], k) for a, b in zip(ends[:-1], ends[1:])]
-                    n = np.array([len(h[0]) for h in hits], np.int64)
-                    if n.sum():
-                        yield pa.RecordBatch.from_pydict({
-                            "query": np.repeat(keys, n), "row": np.repeat(rows, n), "key": np.concatenate([h[0] for h in hits]),
-                            "score": np.concatenate([h[1] for h in hits])})
-
-        hits = index.select("data").mapInArrow(run, "query long, row long, key long, score long")
+                for i in range(batch.num_rows):
+                    shard = Index(batch.column("data")[i].as_py())
+                    places = shard.find(asked)[number]
+                    # What the task has found so far is the threshold for its next shard.
+                    least = [int(scores[-1]) if len(scores) == k else 1 for _, scores in best]
+                    for q, more in enumerate(shard.top(np.split(places, ends[1:-1]), k, least)):
+                        found, scores = best[q]
+                        if len(more[0]):
+                            found, scores = np.append(found, more[0]), np.append(scores, more[1])
+                            order = np.lexsort((found, -scores))[:k]
+                            best[q] = found[order], scores[order]
+            n = np.array([len(b[0]) for b in best], np.int64)
+            if n.sum():
+                yield pa.RecordBatch.from_pydict({
+                    "query": np.repeat(keys, n), "row": np.repeat(rows, n), "key": np.concatenate([b[0] for b in best]),
+                    "score": np.concatenate([b[1] for b in best])})
+
+        hits = shards.mapInArrow(run, "query long, row long, key long, score long")
         if blocks > 1:
             hits = staged(hits, "search-hits")
         found = hits if found is None else found.unionByName(hits)
