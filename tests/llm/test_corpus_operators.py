@@ -251,6 +251,49 @@ def test_fixity_edges(spark):
     assert warc_fixity.audit(records(spark, []), records(spark, [])).count() == 0
 
 
+def plain_audit(good, bad):
+    """Damage by file, seq and contents, in offsets of the first replica."""
+    out, size = [], lambda r: len(r or b"")
+    for f in {r[0] for r in good + bad}:
+        a, b = ({s: r for g, s, r in rows if g == f} for rows in (good, bad))
+        at = 0
+        for s in sorted(a.keys() | b.keys()):
+            if s not in b or s in a and a[s] != b[s]:
+                out.append((f, s, at, at + size(a[s]), "changed" if s in b else "missing"))
+            if s in a:
+                at, more = at + size(a[s]), 0
+            else:
+                more = 0 if s - 1 in a or s == 0 else more
+                out.append((f, s, at + more, at + more + size(b[s]), "extra"))
+                more += size(b[s])
+    return sorted(out)
+
+
+@pytest.mark.parametrize("range_bytes", [64, 512, 1 << 17])
+def test_fixity_finds_damage_that_moves_later_records(spark, range_bytes):
+    rng = np.random.default_rng(9)
+    rows = [(f, s, rng.bytes(int(rng.integers(1, 400)))) for f in (0, 1, 2, 3, 9) for s in range(0, 120, 3)]
+    bad = {(f, s): r for f, s, r in rows}
+    bad[0, 30] = bad[0, 30][:-1]  # truncated
+    bad[1, 45] += b"more"  # lengthened
+    del bad[1, 60], bad[2, 0]  # lost
+    bad[2, 61], bad[2, 62] = b"first inserted", rng.bytes(5000)
+    bad[3, 33] = bad[3, 33] + rng.bytes(3000)
+    bad[3, 117] = bytes(len(bad[3, 117]))
+    bad = [(f, s, r) for (f, s), r in bad.items()]
+    bad += [(9, 118 + s, rng.bytes(300)) for s in range(20)] + [(50, s, rng.bytes(90)) for s in range(20)]
+    got = warc_fixity.audit(records(spark, rows), records(spark, bad), range_bytes=range_bytes, fanout=3)
+    assert sorted(map(tuple, got.collect())) == plain_audit(rows, bad)
+
+
+def test_fixity_of_repeated_places(spark):
+    rows = [(0, s, b"%d-%d" % (s, c)) for s in range(30) for c in range(4)] + [(0, 7, b"same")] * 40 + [(0, None, b"%d" % i) for i in range(50)]
+    bad = [r for r in rows if r not in ((0, 4, b"4-1"), (0, None, b"17"))] + [(0, 4, b"new"), (0, 9, b"more"), (0, 7, b"same")]
+    got = warc_fixity.audit(records(spark, rows), records(spark, bad), range_bytes=32, fanout=3)
+    assert sorted((r.seq is None, r.seq or 0, r.damage) for r in got.collect()) == [
+        (False, 4, "changed"), (False, 7, "extra"), (False, 9, "extra"), (True, 0, "missing")]
+
+
 def plain_rank(seeds, edges, damping, iterations):
     score = dict(seeds)
     out = Counter()
