@@ -18,19 +18,25 @@ TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without text or letters go."""
+    """Documents in a learned language; those without text or letters go. If no row has a language, all others stay."""
     fitted = language_spans.fit(docs, F.col("doc_id"))
+    if not fitted[0]:
+        return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
     return (language_spans.label(docs.select(*COLUMNS), fitted, out="found")
             .where(F.col("found.lang") != language_spans.UNKNOWN).select(*COLUMNS))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies, one row of it. Rows without an id stay."""
+    """The document with the smallest id of each group of near copies, one row of it. Rows without an id count as documents
+    by their text, with ids behind the others; those without text stay."""
+    blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     docs = docs.select(*COLUMNS)
-    found = odd_minhash.near_duplicates(docs)
-    first = found.where(F.col("doc_id") == F.col("component")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
+    by_text = F.xxhash64("text").bitwiseAND((1 << 62) - 1) + F.lit(1 << 62)
+    keyed = docs.where(F.col("doc_id").isNotNull() | ~blank).withColumn("key", F.coalesce("doc_id", by_text))
+    found = odd_minhash.near_duplicates(keyed, key="key")
+    first = found.where(F.col("key") == F.col("component")).select("key").distinct()
+    kept = keyed.join(first, "key", "left_semi").dropDuplicates(["key", "text"]).select(*COLUMNS)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull() & blank))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

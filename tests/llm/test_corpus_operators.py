@@ -353,3 +353,18 @@ def test_pipeline_stages(spark, tmp_path):
     for _, stage in pipeline.STAGES:
         nothing = stage(spark, nothing, str(tmp_path))
     assert nothing.count() == 0
+
+
+def test_pipeline_rows_without_id_or_language(spark):
+    import corpus_pipeline as pipeline
+    words = [f"w{i}" for i in range(200)]
+    text, near, other = " ".join(words), " ".join(words + ["tail"]), " ".join(reversed(words))
+    row = lambda key, t, lang=None: (key, t, lang, "s", 1, None, None, None, None)
+    docs = frame(spark, [row(7, text), row(None, text), row(None, near), row(None, other), row(None, other),
+                         row(None, other + " end"), row(None, "été"), row(None, "12 --"), row(None, None)])
+    named = pipeline.identify_language(spark, docs, "")
+    assert named.columns == pipeline.COLUMNS and named.count() == 7
+    assert named.where("text = '12 --' OR text IS NULL").count() == 0
+    got = [(r.doc_id, r.text) for r in pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert len(got) == 5 and {(7, text), (None, "été"), (None, "12 --"), (None, None)} < set(got)
+    assert len({(None, other), (None, other + " end")} & set(got)) == 1
