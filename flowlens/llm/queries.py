@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from flowlens.llm import (
     block_max_search, language_spans, link_trust, ngram_trie, odd_minhash, order_minhash, sentencepiece_bpe, source_mix,
-    substring_dedup, warc_fixity,
+    spelling_tiles, substring_dedup, swap_packing, turn_repair, warc_fixity,
 )
+from flowlens.session import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -239,3 +240,137 @@ def op5(spark, sf_dir):
     bad = good.withColumn("record", record).join(cut, ["file", "seq"], "left_anti").unionByName(
         more.toDF("file", "seq", "record"))
     return warc_fixity.audit(good, bad)
+
+
+#: The table of crc32 (reflected polynomial 0xEDB88320), which DuckDB lacks.
+CRC_TABLE_SQL = """crc_table AS MATERIALIZED (SELECT list_transform(range(256), lambda i:
+  list_reduce(range(8), lambda c, j: xor(c >> 1, (c & 1) * 3988292384), i)) AS t)"""
+
+
+def _crc32_sql(points: str) -> str:
+    """crc32 of the UTF-8 bytes of a list of code points that are ASCII or from U+00C0 to U+00FF."""
+    return f"""xor(4294967295, list_reduce(flatten(list_transform({points}, lambda p: CASE WHEN p < 128 THEN [p] ELSE [195, p - 64] END)),
+    lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1]), 4294967295))"""
+
+
+@register("op11_turn_repair", rf"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32_sql("list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),"
+                " lambda ch: CAST(unicode(ch) AS BIGINT))")} % 20 AS h
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hashed, range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM damaged),
+faulty AS (
+  SELECT conv_id, turn, role, text, pos, left(role, 1) AS ini,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM placed),
+inserts(s, q, price, pre) AS (VALUES (0, 0, 0, ''), (0, 2, 2, 'I'), (0, 3, 4, 'II'), (1, 1, 0, ''), (1, 2, 2, 'I'), (1, 3, 4, 'II'),
+  (2, 2, 0, ''), (2, 3, 2, 'I'), (3, 3, 0, ''), (3, 2, 2, 'I')),
+edits(letter, ini, q, t, price) AS (VALUES ('D', NULL, 0, 0, 3), ('D', NULL, 1, 1, 3), ('D', NULL, 2, 2, 3), ('D', NULL, 3, 3, 3),
+  ('K', 's', 0, 1, 0), ('K', 'u', 0, 2, 0), ('K', 'u', 1, 2, 0), ('K', 'u', 3, 2, 0), ('K', 'a', 2, 3, 0),
+  ('R', NULL, 0, 2, 2), ('R', NULL, 1, 2, 2), ('R', NULL, 2, 3, 2), ('R', NULL, 3, 2, 2)),
+paths(conv_id, pos, s, best) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, {{'cost': CAST(0 AS BIGINT), 'audit': ''}} FROM faulty
+  UNION ALL
+  SELECT p.conv_id, p.pos + 1, e.t, min({{'cost': CAST(p.best.cost + i.price + e.price
+      + CASE WHEN e.letter <> 'D' AND f.fault = 'truncated' THEN 1 ELSE 0 END AS BIGINT), 'audit': p.best.audit || i.pre || e.letter}})
+  FROM paths p JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.pos = p.pos + 1
+    JOIN inserts i ON i.s = p.s JOIN edits e ON e.q = i.q AND (e.ini IS NULL OR e.ini = f.ini)
+  WHERE e.letter = 'D' OR f.fault IS NULL OR f.fault = 'truncated'
+  GROUP BY p.conv_id, p.pos + 1, e.t),
+lengths AS (SELECT conv_id, max(pos) AS n FROM faulty GROUP BY conv_id),
+solved AS (
+  SELECT p.conv_id, min({{'cost': p.best.cost + z.price, 'audit': p.best.audit || z.post}}) AS best
+  FROM paths p JOIN lengths l ON l.conv_id IS NOT DISTINCT FROM p.conv_id AND l.n = p.pos
+    JOIN (VALUES (0, 0, ''), (1, 4, 'II'), (2, 2, 'I'), (3, 0, '')) AS z(s, price, post) ON z.s = p.s
+  GROUP BY p.conv_id),
+letters AS (
+  SELECT conv_id, i, best.audit[i] AS letter FROM (SELECT conv_id, best, unnest(range(1, length(best.audit) + 1)) AS i FROM solved)),
+numbered AS (
+  SELECT conv_id, i, letter, sum(CASE WHEN letter <> 'I' THEN 1 ELSE 0 END) OVER w AS pos,
+    sum(CASE WHEN letter <> 'D' THEN 1 ELSE 0 END) OVER w AS out
+  FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+joined AS (
+  SELECT m.*, CASE WHEN letter = 'I' THEN '' ELSE f.text END AS text, f.role AS own, f.ini
+  FROM numbered m LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM m.conv_id AND f.pos = m.pos WHERE letter <> 'D'),
+systems AS (SELECT conv_id, count(*) AS n_system FROM joined WHERE out = 1 AND letter = 'K' AND ini = 's' GROUP BY conv_id),
+texts AS (
+  SELECT j.conv_id, string_agg(CASE WHEN letter = 'K' THEN own WHEN (out - coalesce(n_system, 0)) % 2 = 1 THEN 'user'
+    ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS repaired
+  FROM joined j LEFT JOIN systems y ON y.conv_id IS NOT DISTINCT FROM j.conv_id GROUP BY j.conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id)
+SELECT d.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(s.best.cost, 0) AS BIGINT) AS cost,
+  coalesce(s.best.audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d
+  LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+  LEFT JOIN solved s ON s.conv_id IS NOT DISTINCT FROM d.conv_id
+  LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM d.conv_id""")
+def op11(spark, sf_dir):
+    """A drill: turns are lost, emptied, cut, repeated or given to the user by a hash of their keys, then repaired."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    spoken = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    h = F.crc32(F.encode(F.concat_ws(":", *spoken[:2]), "UTF-8")) % 20
+    damaged = turns.select(
+        "conv_id", "turn", F.when(h == 4, "user").otherwise(spoken[2]).alias("role"),
+        F.when(h == 1, "").when(h == 2, F.regexp_replace(spoken[3], "[.!?]", "")).otherwise(spoken[3]).alias("text"),
+        h.alias("h")).where("h <> 0")
+    edited = staged(turn_repair.repair(turn_repair.records(damaged, copies=F.when(F.col("h") == 3, 2).otherwise(1))), "edited")
+    found = {"measures": turn_repair.measures(edited), "digests": turn_repair.digests(edited)}
+    out = turns.select("conv_id").distinct()
+    for name, part in found.items():
+        out = out.join(part.withColumnRenamed("key", name), F.col("conv_id").eqNullSafe(F.col(name)), "left")
+    zero = F.lit(0).cast("long")
+    return out.select(
+        "conv_id", *[F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", sha256_hex(F.lit(""))).alias("repaired_sha256"))
+
+
+@register("op12_spelling_tiles", rf"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+runs AS (
+  SELECT doc_id, run, count(*) AS times FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (
+  SELECT run, times, {_crc32_sql("list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),"
+                                 " lambda ch: CAST(unicode(ch) AS BIGINT))")} AS h FROM runs, crc_table),
+results AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM results WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+cut AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (
+    SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+near AS (
+  SELECT word, count(*) AS n_near, min({{'less': -other_n, 'form': other}}) AS best FROM pairs GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 2 * w.n THEN best.form END AS form,
+    CASE WHEN -best.less >= 2 * w.n THEN -best.less END AS form_n FROM words w LEFT JOIN near USING (word)),
+chains(word, place) AS (
+  SELECT word, word FROM forms UNION SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.place WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.place AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM forms f JOIN chains c USING (word) JOIN forms e ON e.word = c.place AND e.form IS NULL""")
+def op12(spark, sf_dir):
+    return spelling_tiles.variants(spelling_tiles.vocabulary(documents(spark, sf_dir), damage=97))
+
+
+@register("op13_swap_packing")
+def op13(spark, sf_dir):
+    return swap_packing.packed_pieces(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
