@@ -19,6 +19,7 @@ the library. Other columns are ignored. A table without rows has no pieces.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from flowlens.llm.arrow_runs import whole_groups
 from flowlens.llm.worker_cache import kept
@@ -35,25 +37,42 @@ from flowlens.session import staged
 CAPACITY, END_ID = 4096, 1
 SHARD = 4_000
 #: Bytes of words that a worker remembers, and the longest of these words.
-REMEMBERED, LONGEST = 64 << 20, 48
+REMEMBERED, LONGEST = 160 << 20, 48
+#: Bytes that Python takes for an entry besides its contents, and marks that may follow a word.
+ENTRY, MARKS = 190, ".,;:!?"
 
 
 class Words(dict):
-    """Ids of words, little-endian, from the library for those not seen yet."""
+    """Ids of words, little-endian, from the library for those not seen yet.
+
+    When the memory is half full it becomes the old one; words found there are taken over, the others go with the next turn."""
 
     def __init__(self, raw: bytes):
         super().__init__()
         self.library = Tokenizer.from_buffer(raw)
-        self.bytes = 0
-        self[""] = b""
+        self.merges = self.library.model
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = str.maketrans({c: as_bytes(c)[0][0] for c in map(chr, range(128, 256)) if c.isalpha()})
+        self.bytes, self.old = 0, {"": b""}
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.old.get(word)
+        if ids is None:
+            # Letters and the marks after them are apart in the library, too, and case is dropped there.
+            letters = word.rstrip(MARKS)
+            if letters.isalpha() and (letters.isascii() or max(letters) <= "ÿ"):
+                lower = letters.lower()
+                if lower != word:
+                    ids = self[lower] + (self[word[len(letters):]] if len(letters) < len(word) else b"")
+                else:  # one run of letters that no rule changes: straight to the merges
+                    ids = array("I", [t.id for t in self.merges.tokenize(word.translate(self.letters))]).tobytes()
+            else:
+                ids = array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
         if len(word) <= LONGEST:
-            self.bytes += len(ids) + 200
-            if self.bytes > REMEMBERED:
+            self.bytes += len(ids) + len(word) + ENTRY
+            if self.bytes > REMEMBERED // 2:
+                self.old = dict(self)
                 self.clear()
-                self[""] = b""
                 self.bytes = 0
             self[word] = ids
         return ids

@@ -187,12 +187,26 @@ def test_vocabulary_of_awkward_rows(spark):
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(TOKENIZER), swap_packing.Words(open(TOKENIZER, "rb").read())
+
+
+def test_words_leave_the_memory_in_turns(library, monkeypatch):
+    monkeypatch.setattr(swap_packing, "REMEMBERED", 4000)
+    words = swap_packing.Words(open(TOKENIZER, "rb").read())
+    texts = [f"Word{i % 37} été{i}. ßA! {chr(0xC0 + i % 64)}x Übung{i % 5}," for i in range(300)]
+    for text in texts:
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == library[0].encode(text, add_special_tokens=False).ids + [1]
+        assert len(words) + len(words.old) < 60
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("abEIs't  \n\t\r\v\f\x1c\x85\xa0 éÉé日😀Σς<|>¹Ⅷ3_.,!")), max_size=40))
-def test_ids_by_word_equal_the_library(text):
-    words = swap_packing.Words(open(TOKENIZER, "rb").read())
+def test_ids_by_word_equal_the_library(library, text):
+    words = library[1]
     ids = np.frombuffer(words.encode(text), "<u4").tolist()
-    assert ids == Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids + [1]
+    assert ids == library[0].encode(text, add_special_tokens=False).ids + [1]
     assert ids == np.frombuffer(words.encode(text), "<u4").tolist()  # from memory
 
 
