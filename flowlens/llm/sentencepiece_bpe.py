@@ -19,19 +19,24 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2
 
 from flowlens.llm.worker_cache import kept
 
 SPACE = "▁"
-#: Chunks that a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 400_000, 48
+#: Bytes of chunks and of pair checks that a worker remembers, the longest chunk, and what an entry takes besides its contents.
+REMEMBERED, LONGEST, ENTRY = 48 << 20, 48, 190
+#: Bytes of text that are encoded and decoded before they are handed on.
+SLICE = 2 << 20
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 class Model:
@@ -63,6 +68,7 @@ class Model:
         self.pairs: dict[int, bool] = {}
         self.shorter: dict[int, int] = {}
         self.seen: dict[str, bytes] = {}
+        self.seen_bytes = 0
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             if self.merged(piece) == [piece]:  # else merging never makes it
@@ -88,7 +94,7 @@ class Model:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging the characters of both pieces again gives these two pieces."""
-        if len(self.pairs) >= REMEMBERED:
+        if len(self.pairs) * ENTRY > REMEMBERED:
             self.pairs.clear()
         a, b = self.pieces[left], self.pieces[right]
         known = self.pairs[left << 20 | right] = self.merged(a + b) == [a, b]
@@ -141,8 +147,10 @@ class Model:
                 ids.extend(self.byte_ids[b] for b in part.encode())
         packed = ids.tobytes()
         if len(text) <= LONGEST:
-            if len(self.seen) >= REMEMBERED:
+            if self.seen_bytes > REMEMBERED:
                 self.seen.clear()
+                self.seen_bytes = 0
+            self.seen_bytes += ENTRY + 2 * len(text) + len(packed)
             self.seen[text] = packed
         return packed
 
@@ -227,15 +235,31 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", decoded: str = "dec
 
 
 def round_trip(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``encode`` and ``decode`` with one pass of the rows through Python."""
+    """``encode`` and ``decode`` with one pass of the rows through Python. Texts are worked on and handed back in slices of
+    ``SLICE`` bytes, so a worker holds ids and decoded texts of a slice (or of one longer text) beside its input."""
     raw = _read(model_path)
+    carried = [f for f in df.schema if f.name not in (ids, decoded)]
+    names = [f.name for f in carried]
+    of = names.index(text)
+    schema = StructType([*carried, StructField(ids, ArrayType(IntegerType())), StructField(decoded, StringType())])
 
-    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
-    def both(texts: pa.Array) -> pa.Array:
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(raw)
-        packed = [own.encode(t.as_py()) for t in texts]
-        back = pa.array((own.decode(np.frombuffer(p, dtype=np.int32)) for p in packed), pa.string())
-        return pa.StructArray.from_arrays([_lists(packed), back], names=["ids", "decoded"])
-
-    return df.withColumn("__both", both(F.col(text))).withColumns(
-        {ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
+        for batch in batches:
+            for part in _slices(batch, of):
+                packed = [own.encode(t.as_py()) for t in part.column(of)]
+                back = pa.array((own.decode(np.frombuffer(p, dtype=np.int32)) for p in packed), pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, _lists(packed), back], [*names, ids, decoded])
+
+    return df.select(*names).mapInArrow(both, schema)
+
+
+def _slices(batch: pa.RecordBatch, of: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of some bytes of text, one row at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(of)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        begun = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, begun + SLICE, side="right")))
+        yield batch.slice(at, end - at)
+        at = end

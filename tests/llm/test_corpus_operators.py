@@ -355,6 +355,76 @@ def test_pipeline_stages(spark, tmp_path):
     assert nothing.count() == 0
 
 
+def sets_of(text, k):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text).replace("\x0b", " ").split()
+    return {tuple(words[i:i + k]) for i in range(max(len(words) - k, 0) + 1)} if words else set()
+
+
+def plain_passages(rows):
+    """(doc_id, text) without the 50-word windows that start in a document with a smaller id."""
+    words = {key: text.split() for key, text in rows}
+    starts = defaultdict(set)
+    for key, ws in words.items():
+        for i in range(len(ws) - 49):
+            starts[tuple(ws[i:i + 50])].add(key)
+    out = {}
+    for key, ws in words.items():
+        gone = {j for i in range(len(ws) - 49) if min(starts[tuple(ws[i:i + 50])]) < key for j in range(i, i + 50)}
+        out[key] = " ".join(w for j, w in enumerate(ws) if j not in gone) if gone else dict(rows)[key]
+    return out
+
+
+def test_pipeline_equals_plain_stages(spark, tmp_path):
+    """Rows of each stage from the rows of the stage before."""
+    import public_tokenizers
+    import sentencepiece
+
+    import corpus_pipeline as pipeline
+    rng = np.random.default_rng(4)
+    vocab = {"de": [f"{a}ung{b}" for a in "äöübdgk" for b in ("", "en", "er", "lich")],
+             "en": [f"th{a}{b}" for a in "aeiou" for b in ("ing", "ed", "ly", "ness", "")]}
+    passage = " ".join(f"part{i}" for i in range(70))
+    rows = []
+    for i in range(120):
+        lang = ("de", "en")[i % 2]
+        words = list(rng.choice(vocab[lang], 90 + i))
+        text = " ".join(words) + (f" {passage} end{i}" if i % 10 == 3 else "")
+        rows.append((i, text, None if i % 7 == 0 else lang, f"s{i % 3}", len(text), None, None, None, None))
+    rows += [(500 + i, rows[i][1] + " tail", "en", "s0", 1, None, None, None, None) for i in range(0, 40, 4)]
+    rows += [(600, "12 -- 34", "en", "s0", 8, None, None, None, None), (601, None, None, None, None, None, None, None, None)]
+    docs = frame(spark, rows)
+    got = {}
+    for name, stage in pipeline.STAGES:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"file://{tmp_path}/{name.replace(' ', '_')}")
+        docs = spark.read.parquet(f"file://{tmp_path}/{name.replace(' ', '_')}")
+        got[name] = docs.collect()
+    named = {r.doc_id: (r.text, r.lang) for r in got["language identification"]}
+    assert named == {r[0]: (r[1], "de" if r[0] < 500 and r[0] % 2 == 0 or r[0] >= 500 else "en") for r in rows if r[0] < 600}
+    shingles = {key: sets_of(text, 5) for key, (text, _) in named.items()}
+    first = {}
+    for key in sorted(shingles):
+        near = [o for o in first if first[o] == o and len(shingles[o] & shingles[key]) >= 0.8 * len(shingles[o] | shingles[key])]
+        first[key] = near[0] if near else key
+    assert {r.doc_id for r in got["near duplicates"]} == {k for k, o in first.items() if k == o} == set(range(120))
+    kept = {r.doc_id: r.text for r in got["repeated passages"]}
+    assert kept == plain_passages([(r.doc_id, r.text) for r in got["near duplicates"]])
+    assert sum("part33" in text for text in kept.values()) == 1
+    sizes = Counter()
+    for r in got["repeated passages"]:
+        sizes[r.source] += len(r.text.split())
+    targets, mixed = plain_targets(sizes, source_mix.WEIGHTS, 1.5, 2.0), Counter()
+    for r in got["source mix"]:
+        mixed[r.source] += len(r.text.split())
+        assert kept[r.doc_id] == r.text
+    assert max(Counter(r.doc_id for r in got["source mix"]).values()) <= 2
+    longest = max(len(text.split()) for text in kept.values())
+    assert all(abs(mixed[s] - targets[s]) <= 2 * longest for s in targets)
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    assert Counter((r.doc_id, r.lang, r.source, tuple(r.ids), r.decoded, r.n_tokens) for r in got["tokens"]) == Counter(
+        (r.doc_id, r.lang, r.source, tuple(library.encode(r.text)), library.decode(library.encode(r.text)), len(library.encode(r.text)))
+        for r in got["source mix"])
+
+
 def test_pipeline_rows_without_id_or_language(spark):
     import corpus_pipeline as pipeline
     words = [f"w{i}" for i in range(200)]
