@@ -18,12 +18,13 @@ TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without text or letters go. If no row has a language, all others stay."""
+    """Documents with their language as found: ``lang`` is what most of the words are labelled with, whatever it was before.
+    Documents without text or letters go. If no row has a language, none is known, and ``lang`` stays null."""
     fitted = language_spans.fit(docs, F.col("doc_id"))
     if not fitted[0]:
         return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
-    return (language_spans.label(docs.select(*COLUMNS), fitted, out="found")
-            .where(F.col("found.lang") != language_spans.UNKNOWN).select(*COLUMNS))
+    found = language_spans.label(docs.select(*COLUMNS), fitted, out="found").where(F.col("found.lang") != language_spans.UNKNOWN)
+    return found.withColumn("lang", F.col("found.lang")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +69,7 @@ STAGES = [
     ("tokens", tokenize),
 ]
 
-#: Models and tokenisers cannot be written in SQL; tests check columns, row counts and some ids of the stages.
+#: Models and tokenisers cannot be written in SQL; a test holds the rows of every stage against a plain version.
 ORACLE_SQL = None
 
 
