@@ -56,6 +56,8 @@ class ModelConfig:
     boost_depth: int = 7
     boost_step: float = 0.1
     boost_subsample: float = 0.85
+    boost_columns: float = 0.85
+    tree_bins: int = 64
     iforest_trees: int = 200
     iforest_sample: int = 256
     contamination: float = 0.05
@@ -63,6 +65,7 @@ class ModelConfig:
     svm_features: int = 256
     svm_iterations: int = 30
     encoding_dim: int = 8
+    encoder_epochs: int = 30
     recon_quantile: float = 0.99
     clusters: int = 4
     min_benign: int = 100
