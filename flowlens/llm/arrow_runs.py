@@ -1,4 +1,4 @@
-"""Whole groups out of the Arrow batches of a sorted partition."""
+"""Arrow batches of a task: whole groups of a sorted partition, and slices of bounded bytes."""
 
 from __future__ import annotations
 
@@ -48,3 +48,14 @@ def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator
     if held:
         table = pa.Table.from_batches(held)
         yield table, starts(table, keys)
+
+
+def slices(batch: pa.RecordBatch, text: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of at most ``most`` bytes in the column numbered ``text``, one row at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        begun = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, begun + most, side="right")))
+        yield batch.slice(at, end - at)
+        at = end

@@ -19,7 +19,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from typing import Any
 
 import numpy as np
@@ -27,7 +27,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
+from flowlens.llm.arrow_runs import slices
 from flowlens.llm.worker_cache import clear, kept
 
 BUCKETS = 1 << 15
@@ -38,7 +40,9 @@ SCRIPT_SHARE = 0.01
 #: Words that a worker remembers.
 REMEMBERED = 300_000
 #: Words labelled at once.
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 200_000
+#: Bytes of text that are labelled before they are handed on.
+SLICE = 4 << 20
 UNKNOWN = "und"
 
 # First code points of Unicode ranges and the script from there on.
@@ -215,13 +219,19 @@ def label(df: DataFrame, fitted: tuple[list[str], np.ndarray], text: str = "text
     langs, counts = fitted
     stamp = zlib.crc32(counts.tobytes() + repr(langs).encode())
     shipped = df.sparkSession.sparkContext.broadcast((langs, counts))  # languages x (BUCKETS + scripts) numbers
+    carried = [f for f in df.schema if f.name != out]
+    columns = [f.name for f in carried]
+    of = columns.index(text)
 
-    @F.arrow_udf(LABELLED)
-    def labelled(texts: pa.Array) -> pa.Array:
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = kept(("languages", stamp), lambda: Model(*shipped.value))
-        names, shares, spans = label_texts(model, (t.as_py() for t in texts), penalty)
-        return pa.StructArray.from_arrays(
-            [pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, _SPANS)],
-            names=["lang", "score", "spans"])
-
-    return df.withColumn(out, labelled(F.col(text)))
+        for batch in batches:
+            for part in slices(batch, of, SLICE):  # so that a worker holds words and spans of a slice
+                names, shares, spans = label_texts(model, (t.as_py() for t in part.column(of)), penalty)
+                found = pa.StructArray.from_arrays(
+                    [pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, _SPANS)],
+                    names=["lang", "score", "spans"])
+                yield pa.RecordBatch.from_arrays([*part.columns, found], [*columns, out])
+
+    schema = StructType([*carried, StructField(out, DataType.fromDDL(LABELLED))])
+    return df.select(*columns).mapInArrow(labelled, schema)

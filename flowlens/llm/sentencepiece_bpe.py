@@ -24,12 +24,12 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2
 
+from flowlens.llm.arrow_runs import slices
 from flowlens.llm.worker_cache import kept
 
 SPACE = "▁"
@@ -246,20 +246,9 @@ def round_trip(df: DataFrame, model_path: str, text: str = "text", ids: str = "i
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(raw)
         for batch in batches:
-            for part in _slices(batch, of):
+            for part in slices(batch, of, SLICE):
                 packed = [own.encode(t.as_py()) for t in part.column(of)]
                 back = pa.array((own.decode(np.frombuffer(p, dtype=np.int32)) for p in packed), pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, _lists(packed), back], [*names, ids, decoded])
 
     return df.select(*names).mapInArrow(both, schema)
-
-
-def _slices(batch: pa.RecordBatch, of: int) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in slices of some bytes of text, one row at least."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(of)), 0).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < batch.num_rows:
-        begun = sizes[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(sizes, begun + SLICE, side="right")))
-        yield batch.slice(at, end - at)
-        at = end
