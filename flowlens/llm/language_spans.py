@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from flowlens.llm.arrow_runs import slices
 from flowlens.llm.worker_cache import clear, kept
