@@ -4,10 +4,13 @@ A rule names a host and the start of a path; it fits the host and its subdomains
 Hosts of pages that a rule allows are seeds of trust, those of blocked pages seeds of distrust, by their number of such
 pages. Trust follows links, distrust goes against them, to hosts that link to distrusted ones: two personalised
 PageRanks over the same host edges. A page without a rule is blocked if its host has more distrust than trust times
-``THRESHOLD``, else allowed; hosts that neither reaches are allowed.
+``THRESHOLD`` and than ``FLOOR``, else allowed; hosts that neither reaches are allowed.
 
-Each iteration is a join of the edges with the scores and a pre-aggregated sum, so hosts with many links are split; each
-``CHECKPOINT`` iterations the scores are written to the shared folder. Mass that reaches a host without links onward ends there.
+What flows is the mass that has just arrived: each iteration joins it with the edges and adds it up before the shuffle, so hosts
+with many links are split. It shrinks by the damping each time, and the iterations end when no host gets more than
+``TOLERANCE``, however many that takes: with damping 0.8 a chain of links is followed for about a hundred hosts, until what
+arrives is below the floor. Each ``CHECKPOINT`` iterations what flows and the scores are written to the shared folder. Mass that
+reaches a host without links onward ends there.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is allowed; null html has no
 links; links within a host do not count; repeated pages count and are judged as often as they occur; an empty table
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 
 from flowlens.session import staged
 
-DAMPING, ITERATIONS, CHECKPOINT = 0.8, 12, 4
+DAMPING, CHECKPOINT = 0.8, 3
+#: Arriving mass at which the iterations end, and the score below which a host counts as not reached.
+TOLERANCE, FLOOR = 1e-11, 1e-9
 THRESHOLD = 1.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -82,7 +87,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .groupBy("host", "to").agg(F.count("*").cast("double").alias("n")))
 
 
-def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
+def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Scores by kind and host from ``seeds`` (kind, host, seed), each kind summing to 1, over ``edges`` (host, to, n)."""
     out, into = edges.groupBy("host").agg(F.sum("n").alias("all")), edges.groupBy("to").agg(F.sum("n").alias("all"))
     steps = staged(
@@ -90,16 +95,23 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, ite
         .unionByName(edges.join(into, "to").select(
             F.lit("distrust").alias("kind"), F.col("to").alias("host"), F.col("host").alias("to"),
             (F.col("n") / F.col("all")).alias("share"))), "trust-steps")
-    base = staged(seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score")), "trust-base")
-    scores = seeds.select("kind", "host", F.col("seed").alias("score"))
-    if not steps.limit(1).count():
-        return base  # nothing flows: only the seeds keep their share
-    for i in range(iterations):
-        moved = (scores.join(steps, ["kind", "host"]).groupBy("kind", F.col("to").alias("host"))
-                 .agg((F.sum(F.col("score") * F.col("share")) * damping).alias("score")))
-        scores = base.unionByName(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if (i + 1) % CHECKPOINT == 0:
-            scores = staged(scores, "trust-scores")
+    arrived = staged(seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score")), "trust-base")
+    if steps.isEmpty():
+        return arrived  # nothing flows: only the seeds keep their share
+    scores = arrived
+    while not arrived.where(F.col("score") > tolerance).isEmpty():
+        rounds = []
+        for _ in range(CHECKPOINT):
+            arrived = (arrived.join(steps, ["kind", "host"]).groupBy("kind", F.col("to").alias("host"))
+                       .agg((F.sum(F.col("score") * F.col("share")) * damping).alias("score")))
+            rounds.append(arrived)
+        # The rounds since the last writing, told apart by number, are written together.
+        lines = rounds[0].withColumn("round", F.lit(0))
+        for i, more in enumerate(rounds[1:], 1):
+            lines = lines.unionByName(more.withColumn("round", F.lit(i)))
+        lines = staged(lines, "trust-rounds")
+        arrived = lines.where(F.col("round") == CHECKPOINT - 1).drop("round")
+        scores = staged(scores.unionByName(lines.drop("round")).groupBy("kind", "host").agg(F.sum("score").alias("score")), "trust-scores")
     return scores
 
 
@@ -114,7 +126,7 @@ def judge(pages: DataFrame, rules: list[Rule] | None = None, threshold: float =
     seeds = staged(counted.join(totals, "ruling").select(kind, "host", (F.col("n") / F.col("all")).alias("seed")), "trust-seeds")
     scores = propagated(seeds, host_edges(found)).groupBy("host").agg(
         *[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")])
-    by_host = F.when(F.col("distrust") > F.col("trust") * threshold, "block").otherwise("allow")
+    by_host = F.when((F.col("distrust") > F.col("trust") * threshold) & (F.col("distrust") > FLOOR), "block").otherwise("allow")
     return (found.drop("links").join(by_rule.drop("host"), "row", "left").join(scores, "host", "left")
             .fillna(0.0, ["trust", "distrust"])
             .select(F.col("key").alias(key), "host", "path", "rule", "trust", "distrust",

@@ -163,19 +163,8 @@ def op10(spark, sf_dir):
                         F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
-def _pagerank_sql(iterations: int = 12, damping: str = "0.8") -> str:
-    """The iterations of both PageRanks, one table each."""
-    out = ["s0 AS (SELECT kind, host, seed AS score FROM seeds)"]
-    for i in range(1, iterations + 1):
-        out.append(f"""s{i} AS MATERIALIZED (SELECT kind, host, sum(score) AS score FROM (
-  SELECT kind, host, seed * (1 - {damping}) AS score FROM seeds UNION ALL
-  SELECT s.kind, e.dst, sum(s.score * e.share) * {damping} FROM s{i - 1} s JOIN steps e ON e.kind = s.kind AND e.host = s.host
-  GROUP BY 1, 2) GROUP BY 1, 2)""")
-    return ",\n".join(out)
-
-
 @register("op7_link_trust", r"""
-WITH parsed AS (
+WITH RECURSIVE parsed AS (
   SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
@@ -194,11 +183,14 @@ edges AS (SELECT host, lower(dst) AS dst, count(DISTINCT page_id) AS n FROM link
 steps AS (
   SELECT 'trust' AS kind, host, dst, n / sum(n) OVER (PARTITION BY host) AS share FROM edges UNION ALL
   SELECT 'distrust', dst, host, n / sum(n) OVER (PARTITION BY dst) FROM edges),
-""" + _pagerank_sql() + """,
+arrived(kind, host, score) AS (
+  SELECT kind, host, CAST(seed * 0.2 AS DOUBLE) FROM seeds UNION ALL
+  SELECT a.kind, s.dst, sum(a.score * s.share) * 0.8::DOUBLE FROM arrived a JOIN steps s ON s.kind = a.kind AND s.host = a.host
+  GROUP BY 1, 2 HAVING sum(a.score * s.share) > 1e-14),
 scores AS (SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS trust,
-  coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS distrust FROM s12 GROUP BY host)
+  coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS distrust FROM arrived GROUP BY host)
 SELECT page_id, p.host, p.path, rule, coalesce(ruling, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0)
-  THEN 'block' ELSE 'allow' END) AS verdict
+  AND coalesce(distrust, 0) > 1e-9 THEN 'block' ELSE 'allow' END) AS verdict
 FROM parsed p LEFT JOIN ruled USING (page_id) LEFT JOIN scores s ON s.host = p.host""")
 def op7(spark, sf_dir):
     return link_trust.judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "host", "path", "rule", "verdict")

@@ -326,12 +326,36 @@ def test_links_carry_trust_and_distrust(spark):
     assert got[3].verdict == "block" and got[2].verdict == "allow" and got[4].verdict == "allow" and got[7].verdict == "allow"
     trust = plain_rank({"good.example.net": 0.5, "x.org": 0.5}, [
         ("good.example.net", "friend.com", 1), ("bad.net", "friend.com", 1), ("friend.com", "second.com", 1),
-        ("farm.com", "bad.net", 1), ("sub.example.com", "second.com", 1), ("x.org", "third.com", 1)], 0.8, 12)
+        ("farm.com", "bad.net", 1), ("sub.example.com", "second.com", 1), ("x.org", "third.com", 1)], 0.8, 200)
     assert got[2].trust == pytest.approx(trust["friend.com"]) and got[4].trust == pytest.approx(trust["second.com"])
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert link_trust.judge(empty).count() == 0
 
 
+def test_links_are_followed_until_nothing_changes(spark):
+    """A chain of 30 hosts to a blocked one, a cycle, a hub that links to all, and a host that many link to."""
+    link = lambda *hosts: "".join(f'<a href="https://{h}/p">t</a>' for h in hosts)
+    chain = [f"c{i}.com" for i in range(30)] + ["bad.net"]
+    links = [(a, b) for a, b in zip(chain, chain[1:])] + [("r1.com", "r2.com"), ("r2.com", "r3.com"), ("r3.com", "r1.com"),
+                                                       ("r2.com", "bad.net"), ("good.org", "r1.com")]
+    links += [("hub.com", f"h{i}.com") for i in range(200)] + [("hub.com", "bad.net")] + [(f"h{i}.com", "popular.com") for i in range(200)]
+    by_host = defaultdict(list)
+    for a, b in links:
+        by_host[a].append(b)
+    seeds = {"bad.net": "http://bad.net/", "good.org": "http://good.org/fr/"}
+    hosts = sorted({h for e in links for h in e})
+    pages = [(i, seeds.get(h, f"http://{h}/"), link(*by_host[h])) for i, h in enumerate(hosts)]
+    got = {r.host: r for r in link_trust.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[h].verdict == "block" for h in chain)
+    back = [(b, a, 1) for a, b in links]
+    distrust = plain_rank({"bad.net": 1.0}, back, 0.8, 400)
+    trust = plain_rank({"good.org": 1.0}, [(a, b, 1) for a, b in links], 0.8, 400)
+    for h in hosts:
+        assert got[h].distrust == pytest.approx(distrust.get(h, 0.0), abs=1e-9) and got[h].trust == pytest.approx(trust.get(h, 0.0), abs=1e-9)
+    assert got["hub.com"].verdict == "block" and got["h7.com"].verdict == got["popular.com"].verdict == "allow"
+    assert got["c0.com"].distrust == pytest.approx(got["c1.com"].distrust * 0.8)
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as pipeline
     docs, before = frame(spark, awkward() + [(50, awkward()[5][1] + " tail", "de", "s1", 1, None, None, None, None)]), None
