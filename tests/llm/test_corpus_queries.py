@@ -30,6 +30,6 @@ def test_query_equals_sql(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_query_returns_every_row(spark, name):
+def test_query_returns_every_document(spark, name):
     want = spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
-    assert QUERIES[name](spark, SF_DIR).count() == want
+    assert QUERIES[name](spark, SF_DIR).select("doc_id").distinct().count() == want
