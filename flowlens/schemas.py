@@ -31,6 +31,7 @@ _FLOW_PAIRS = [(c, T.DoubleType()) for c in NUMERIC] + [(c, T.StringType()) for
 
 FLOW = T.StructType(_fields(_FLOW_PAIRS + [(LABEL, T.StringType())]))
 
+# Columns of the five stored tables.
 FLOW_TABLE = T.StructType(FLOW.fields + _fields([
     ("batch_id", T.StringType()), ("source", T.StringType()), ("created_at", T.TimestampType()),
 ]))
