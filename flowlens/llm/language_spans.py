@@ -40,9 +40,9 @@ SCRIPT_SHARE = 0.01
 #: Words that a worker remembers.
 REMEMBERED = 300_000
 #: Words labelled at once.
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 1_000_000
 #: Bytes of text that are labelled before they are handed on.
-SLICE = 4 << 20
+SLICE = 6 << 20
 UNKNOWN = "und"
 
 # First code points of Unicode ranges and the script from there on.
