@@ -17,9 +17,10 @@ many words the first by code point wins. Rows are labelled one by one, so copies
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import islice
 from typing import Any
 
 import numpy as np
@@ -32,6 +33,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 from flowlens.llm.arrow_runs import slices
 from flowlens.llm.worker_cache import clear, kept
 
+#: A power of two, at most 2 ** 16.
 BUCKETS = 1 << 15
 SAMPLE_DOCS = 16_000
 SWITCH_PENALTY = 9.0
@@ -39,6 +41,8 @@ SWITCH_PENALTY = 9.0
 SCRIPT_SHARE = 0.01
 #: Words that a worker remembers.
 REMEMBERED = 300_000
+#: New words whose n-grams are hashed at once.
+HASHED_WORDS = 1 << 15
 #: Words labelled at once.
 BLOCK_WORDS = 1_000_000
 #: Bytes of text that are labelled before they are handed on.
@@ -64,19 +68,42 @@ def letters_of(word: str) -> str:
     return word.lower() if word.isalpha() else "".join(filter(str.isalpha, word)).lower()
 
 
-def script_of(letters: str) -> int:
-    """Script of most letters."""
-    if letters.isascii():
-        return SCRIPTS.index("latin")
-    found = [_SCRIPT_OF[bisect_right(_STARTS, ord(c)) - 1] for c in letters]
-    return max(set(found), key=lambda s: (found.count(s), -s))
-
-
-def grams(letters: str) -> list[int]:
-    """Buckets of the n-grams of two to four letters, with marks at both ends."""
-    marked = f"_{letters}_".encode("utf-32-le")
-    return [zlib.crc32(marked[i:i + 4 * n]) % BUCKETS
-            for n in (2, 3, 4) for i in range(0, len(marked) - 4 * n + 1, 4)] or [zlib.crc32(marked) % BUCKETS]
+@cache
+def _tables() -> tuple[list[np.ndarray], list[int], np.ndarray]:
+    """For every code point what it adds to the CRC-32 of an n-gram when 0 to 3 code points follow, and its script; for every
+    n the CRC-32 of n zeros. A CRC of a fixed length is the exclusive or of what its bytes add; buckets are its low bits."""
+    points, zeros, adds = np.arange(0x110000), [zlib.crc32(bytes(4 * n)) % BUCKETS for n in range(5)], []
+    for after in range(4):
+        own = np.zeros(len(points), np.uint16)
+        for byte in range(3):
+            of_value = [zlib.crc32(bytes(byte) + bytes([v]) + bytes(3 - byte + 4 * after)) % BUCKETS ^ zeros[after + 1]
+                        for v in range(256)]
+            own ^= np.array(of_value, np.uint16)[points >> 8 * byte & 255]
+        adds.append(own)
+    return adds, zeros, np.array(_SCRIPT_OF, np.uint8)[np.searchsorted(_STARTS, points, side="right") - 1]
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of words of letters: buckets of their n-grams of two to four letters, with marks at both ends, three for each letter
+    and shorter ones first; where each word's buckets begin; and the script of most of its letters."""
+    adds, zeros, script = _tables()
+    marked = np.frombuffer(f"_{'__'.join(words)}_".encode("utf-32-le"), np.uint32)
+    size = np.array([len(w) for w in words])
+    begins, first = 3 * (np.cumsum(size) - size), np.cumsum(size + 2) - size - 2
+    added = [own[marked] for own in adds]
+    buckets = np.empty(3 * size.sum(), np.intp)
+    for n, shorter in ((2, 0), (3, size + 1), (4, 2 * size + 1)):
+        many = size + 3 - n
+        before, run = np.cumsum(many) - many, np.arange(many.sum())
+        at = run + np.repeat(first - before, many)
+        found = added[n - 1][at] ^ zeros[n]
+        for i in range(1, n):
+            found ^= added[n - 1 - i][at + i]
+        buckets[run + np.repeat(begins + shorter - before, many)] = found
+    letters = np.bincount(np.repeat(np.arange(len(words)) * len(SCRIPTS), size + 2) + script[marked],
+                          minlength=len(words) * len(SCRIPTS)).reshape(-1, len(SCRIPTS))
+    letters[:, SCRIPTS.index("latin")] -= 2  # the marks
+    return buckets, begins, letters.argmax(1)
 
 
 def _counts(batches):
@@ -88,11 +115,15 @@ def _counts(batches):
             words.setdefault(lang, Counter()).update(text.split())
     for lang, seen in words.items():
         own = np.zeros(BUCKETS + len(SCRIPTS), np.int64)
-        for word, n in seen.items():
-            if letters := letters_of(word):
-                for bucket in grams(letters):
-                    own[bucket] += n
-                own[BUCKETS + script_of(letters)] += n * len(letters)
+        pairs = iter(seen.items())
+        while some := list(islice(pairs, HASHED_WORDS)):
+            if not (lettered := [(letters, n) for word, n in some if (letters := letters_of(word))]):
+                continue
+            buckets, _, scripts = features([letters for letters, _ in lettered])
+            size, times = np.array([(len(letters), n) for letters, n in lettered]).T
+            # Sums of whole numbers below 2 ** 53 are exact in doubles.
+            own[:BUCKETS] += np.bincount(buckets, np.repeat(times, 3 * size), BUCKETS).astype(np.int64)
+            own[BUCKETS:] += np.bincount(scripts, times * size, len(SCRIPTS)).astype(np.int64)
         yield pa.RecordBatch.from_pydict({"lang": [lang], "counts": [own.tobytes()]})
 
 
@@ -116,23 +147,26 @@ class Model:
         """Row number of every word in ``self.rows``; 0 is a word without letters."""
         if len(self.index) > REMEMBERED:
             self.index, self.rows = {}, self.rows[:1]
-        get = self.index.get
         new = [w for w in dict.fromkeys(words) if w not in self.index]
-        flat, begins, scripts, at = [], [], [], len(self.rows)
-        for word in new:
-            letters = letters_of(word)
-            self.index[word] = at if letters else 0
-            if letters:
-                at += 1
-                begins.append(len(flat))
-                flat += grams(letters)
-                scripts.append(script_of(letters))
-        if flat:
-            rows = np.add.reduceat(self.logp[flat], begins, axis=0)
-            allowed = self.uses[scripts]
-            rows[~allowed & allowed.any(1, keepdims=True)] = -1e6
-            self.rows = np.concatenate([self.rows, rows - rows.max(1, keepdims=True)])
-        return np.array([get(w) for w in words], dtype=np.int64)
+        at, parts = len(self.rows), [self.rows]
+        for begin in range(0, len(new), HASHED_WORDS):
+            lettered = []
+            for word in new[begin:begin + HASHED_WORDS]:
+                if letters := letters_of(word):
+                    self.index[word] = at + len(lettered)
+                    lettered.append(letters)
+                else:
+                    self.index[word] = 0
+            if lettered:
+                buckets, begins, scripts = features(lettered)
+                rows = np.add.reduceat(self.logp[buckets], begins, axis=0)
+                allowed = self.uses[scripts]
+                rows[~allowed & allowed.any(1, keepdims=True)] = -1e6
+                parts.append(rows - rows.max(1, keepdims=True))
+                at += len(lettered)
+        if len(parts) > 1:
+            self.rows = np.concatenate(parts)
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import sys
 import zlib
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -155,6 +157,34 @@ def test_viterbi_equals_plain_version():
         at += n
 
 
+def test_features_equal_plain_version():
+    words = ["a", "ab", "été", "αθήνα", "日本語", "дaб", "aд", "дa", "\U00020000\U0002f800", "ss" * 400]
+    starts = [start for start, _ in language_spans.SCRIPT_RANGES]
+    buckets, begins, scripts = language_spans.features(words)
+    for word, begin, end, script in zip(words, begins, [*begins[1:], len(buckets)], scripts):
+        marked = f"_{word}_"
+        assert buckets[begin:end].tolist() == [
+            zlib.crc32(marked[i:i + n].encode("utf-32-le")) % language_spans.BUCKETS
+            for n in (2, 3, 4) for i in range(len(marked) - n + 1)]
+        own = [language_spans.SCRIPTS.index(language_spans.SCRIPT_RANGES[bisect_right(starts, ord(c)) - 1][1]) for c in word]
+        assert script == max(set(own), key=lambda s: (own.count(s), -s))
+
+
+def test_few_python_calls_for_a_new_word():
+    counts = np.ones((2, language_spans.BUCKETS + len(language_spans.SCRIPTS)), np.int64)
+    model = language_spans.Model(["a", "b"], counts)
+    model.scores(["warm"])
+    words = [f"wort{chr(97 + i % 26)}{'xyz' * (i % 9)}{chr(97 + i // 26)}" for i in range(500)]
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        model.scores(words)
+    finally:
+        sys.setprofile(None)
+    # Hashing the n-grams one by one takes over 20.
+    assert calls["call"] + calls["c_call"] < 10 * len(words)
+
+
 def test_languages_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
