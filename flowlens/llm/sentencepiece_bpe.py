@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -37,8 +37,11 @@ SPACE = "▁"
 REMEMBERED, LONGEST, ENTRY = 48 << 20, 48, 190
 #: Bytes of text that are encoded and decoded before they are handed on.
 SLICE = 2 << 20
+#: Groups of characters that chunks are split by.
+GROUPS = 8
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
+
 class Model:
     """Vocabulary with the memory of pair checks and of chunks seen, one for each worker."""
 
@@ -62,18 +65,25 @@ class Model:
                 SPACE in piece.lstrip(SPACE) for piece in self.ids):
             raise ValueError("the vocabulary lacks single characters, or has pieces with inner white space")
         self.letters = letters
-        # Nothing merges across a line end without a piece, nor from a word into following white space.
+        # Nothing merges across a line end without a piece, from a word into following white space, nor from one group of
+        # characters to another if no piece holds characters of both.
         ends = "" if "\n" in letters else "\n"
-        self.chunks = re.compile(f"{SPACE}*[^{SPACE}{ends}]+|{SPACE}+" + (f"|{ends}+" if ends else "")).findall
+        groups = ["".join(map(re.escape, group)) for group in _groups(self.ids)]
+        runs = "|".join([*(f"[{group}]+" for group in groups), f"[^{SPACE}{ends}{''.join(groups)}]+"])
+        self.chunks = re.compile(f"{SPACE}*(?:{runs})|{SPACE}+" + (f"|{ends}+" if ends else "")).findall
         self.pairs: dict[int, bool] = {}
-        self.shorter: dict[int, int] = {}
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.seen_bytes = 0
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             if self.merged(piece) == [piece]:  # else merging never makes it
                 self.automaton.add_word(piece, (len(piece) - 1, i))
         self.automaton.make_automaton()
+        self.sizes = [len(piece) for piece in self.pieces]
+        # Of each piece the longest proper start that is a piece of the automaton; -1 if there is none.
+        self.shorter = [next((self.ids[piece[:n]] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.automaton), -1)
+                        if piece in self.ids else -1 for piece in self.pieces]
         # Text of each id, with the white space mark resolved; byte pieces are resolved in runs, controls are silent.
         self.text = ["" if p.type == CONTROL else proto.trainer_spec.unk_surface if p.type == UNKNOWN
                      else p.piece.replace(SPACE, " ") for p in proto.pieces]
@@ -100,55 +110,52 @@ class Model:
         known = self.pairs[left << 20 | right] = self.merged(a + b) == [a, b]
         return known
 
-    def next_shorter(self, i: int) -> int:
-        """The longest proper start of a piece that is a piece of the automaton; -1 if there is none."""
-        known = self.shorter.get(i)
-        if known is None:
-            piece = self.pieces[i]
-            known = self.shorter[i] = next(
-                (self.ids[piece[:n]] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.automaton), -1)
-        return known
-
     def backtracked(self, text: str) -> list[int]:
         """Piece ids of a text all of whose characters have a piece."""
         longest = [0] * len(text)
         for end, (before, i) in self.automaton.iter(text):
             longest[end - before] = i  # of matches with one start, the longest ends last
-        pieces, pairs, fits, shorter = self.pieces, self.pairs.get, self.fits, self.next_shorter
-        failed = bytearray(len(text) // 8 + 1)
+        sizes, pairs, fits, shorter = self.sizes, self.pairs.get, self.fits, self.shorter
+        failed = bytearray()  # made when the first position fails
         out: list[int] = []
-        at, last, piece = 0, -1, longest[0]
+        at, last, piece, length = 0, -1, longest[0], len(text)
         while True:
-            end = at + len(pieces[piece])
-            if not failed[end >> 3] >> (end & 7) & 1:
+            end = at + sizes[piece]
+            if not failed or not failed[end >> 3] >> (end & 7) & 1:
                 fit = last < 0 or pairs(last << 20 | piece)
                 if fit is None:
                     fit = fits(last, piece)
                 if fit:
                     out.append(piece)
-                    if end == len(text):
+                    if end == length:
                         return out
                     at, last, piece = end, piece, longest[end]
                     continue
-            piece = shorter(piece)
+            piece = shorter[piece]
             while piece < 0:  # no piece is left here: take the left neighbour back
+                failed = failed or bytearray(length // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                at -= len(pieces[last])
-                piece = shorter(out.pop())
+                at -= sizes[last]
+                piece = shorter[out.pop()]
                 last = out[-1] if out else -1
 
     def chunk(self, text: str) -> bytes:
-        """Ids of a chunk as packed 32-bit numbers."""
-        ids = array("i")
-        for known, part in _by(text, self.letters):
-            if known:
-                ids.extend(self.backtracked(part))
-            else:
-                ids.extend(self.byte_ids[b] for b in part.encode())
-        packed = ids.tobytes()
+        """Ids of a chunk as packed 32-bit numbers. Of two memories the older one is let go when the newer one is full; what is
+        asked for again moves to the newer one."""
+        if text in self.seen:
+            return self.seen[text]
+        packed = self.older.get(text)
+        if packed is None:
+            ids = array("i")
+            for known, part in _by(text, self.letters):
+                if known:
+                    ids.extend(self.backtracked(part))
+                else:
+                    ids.extend(self.byte_ids[b] for b in part.encode())
+            packed = ids.tobytes()
         if len(text) <= LONGEST:
-            if self.seen_bytes > REMEMBERED:
-                self.seen.clear()
+            if 2 * self.seen_bytes > REMEMBERED:
+                self.older, self.seen = self.seen, {}
                 self.seen_bytes = 0
             self.seen_bytes += ENTRY + 2 * len(text) + len(packed)
             self.seen[text] = packed
@@ -179,6 +186,25 @@ class Model:
         return out[1:] if self.prefix and self.pieces[ids[0]].startswith(SPACE) else out
 
 
+def _groups(pieces: Iterable[str]) -> list[list[str]]:
+    """The ``GROUPS`` largest groups of characters, where neighbours in a piece are of one group; the white space mark has none."""
+    beside: dict[str, set[str]] = {}
+    for piece in pieces:
+        own = piece.lstrip(SPACE)
+        for a, b in zip(own, own[1:]):
+            beside.setdefault(a, set()).add(b)
+            beside.setdefault(b, set()).add(a)
+    groups, free = [], set(beside)
+    while free:
+        group, edge = set(), {free.pop()}
+        while edge:
+            group |= edge
+            edge = set().union(*(beside[c] for c in edge)) - group
+        free -= group
+        groups.append(sorted(group))
+    return sorted(groups, key=lambda g: (-len(g), g))[:GROUPS]
+
+
 def _by(text: str, letters: set[str]) -> list[tuple[bool, str]]:
     """Stretches of characters that have a piece and of those that have none."""
     if letters.issuperset(text):

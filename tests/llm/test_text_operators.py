@@ -38,6 +38,40 @@ def test_backtracking_equals_library(text):
     assert own.decode(ids) == lib.decode(lib.encode(text))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("aÀßжЧ一个ال²─09.,;()-]^\\[&~#|\"'\r\n\u0000 😀▁")), max_size=40))
+def test_groups_of_characters_equal_library(text):
+    own = sentencepiece_bpe.model(open(PATH, "rb").read())
+    assert np.frombuffer(own.encode(text), np.int32).tolist() == sentencepiece.SentencePieceProcessor(model_file=PATH).encode(text)
+
+
+def counted(model, monkeypatch):
+    """Texts that a model backtracks over from now on."""
+    done = []
+    inner = model.backtracked
+    monkeypatch.setattr(model, "backtracked", lambda text: done.append(text) or inner(text))
+    return done
+
+
+def test_words_are_encoded_once_whatever_follows_them(library, monkeypatch):
+    own = sentencepiece_bpe.Model(open(PATH, "rb").read())
+    done = counted(own, monkeypatch)
+    text = " ".join(f"wort{chr(97 + i)}{end}" for end in (".", ",", "###", ";", ")", "!?") for i in range(20))
+    assert np.frombuffer(own.encode(text), np.int32).tolist() == library.encode(text)
+    assert len(done) == 20 + 6
+
+
+def test_frequent_words_outlive_a_full_memory(library, monkeypatch):
+    monkeypatch.setattr(sentencepiece_bpe, "REMEMBERED", 100 * 250)
+    own = sentencepiece_bpe.Model(open(PATH, "rb").read())
+    done = counted(own, monkeypatch)
+    for i in range(100):
+        text = "und " + " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j)}" for j in range(10))
+        assert np.frombuffer(own.encode(text), np.int32).tolist() == library.encode(text)
+    assert len(done) > 1000 and done.count("▁und") == 1
+    assert sentencepiece_bpe.ENTRY * (len(own.seen) + len(own.older)) < 100 * 300
+
+
 def test_encode_and_decode_awkward_rows(spark, library):
     docs = frame(spark).withColumn("ids", F.lit("clash"))
     together = {(r.doc_id, r.text): r for r in sentencepiece_bpe.round_trip(docs, PATH).collect()}
