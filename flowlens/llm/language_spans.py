@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from flowlens.llm.arrow_runs import slices
-from flowlens.llm.worker_cache import clear, kept
+from flowlens.llm.worker_cache import clear, kept, tidy
 
 #: A power of two, at most 2 ** 16.
 BUCKETS = 1 << 15
@@ -106,6 +106,7 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return buckets, begins, letters.argmax(1)
 
 
+@tidy
 def _counts(batches):
     """Dense counts per language of a task's rows: buckets, then scripts."""
     clear()
@@ -257,6 +258,7 @@ def label(df: DataFrame, fitted: tuple[list[str], np.ndarray], text: str = "text
     columns = [f.name for f in carried]
     of = columns.index(text)
 
+    @tidy
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = kept(("languages", stamp), lambda: Model(*shipped.value))
         for batch in batches:

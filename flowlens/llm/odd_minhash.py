@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.llm.worker_cache import clear
+from flowlens.llm.worker_cache import clear, tidy, tidy_group
 from flowlens.session import staged
 
 BANDS, ROWS = 32, 5
@@ -114,6 +114,7 @@ SIGNED = "key long, n_shingles long, set_a long, set_b long, bands array<long>,
 
 def signatures(docs: DataFrame, key: str, text: str, k: int, bands: int, rows: int) -> DataFrame:
     """A row per document: size and hash of its set, band hashes and odd sketch (null for an empty set)."""
+    @tidy
     def signed(batches):
         clear()
         hashes = Hashes(bands, rows)
@@ -158,6 +159,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int, si
                    "near-texts")
 
     @F.arrow_udf("boolean")
+    @tidy_group
     def similar(first: pa.Array, second: pa.Array) -> pa.Array:
         out = []
         for at in range(0, len(first), 512):
@@ -187,6 +189,7 @@ def prefix_pairs(open_: DataFrame, docs: DataFrame, key: str, text: str, k: int,
         return F.floor((similarity * (n + m) + 99 + similarity) / (100 + similarity))
 
     @F.arrow_udf("array<long>")
+    @tidy_group
     def runs(texts: pa.Array) -> pa.Array:
         doc, total = shingles(texts, k)
         ends = np.append(0, np.cumsum(np.bincount(doc, minlength=len(texts)))).astype(np.int32)

@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from sentencepiece import sentencepiece_model_pb2
 
 from flowlens.llm.arrow_runs import slices
-from flowlens.llm.worker_cache import kept
+from flowlens.llm.worker_cache import kept, tidy
 
 SPACE = "▁"
 #: Bytes of chunks and of pair checks that a worker remembers, the longest chunk, and what an entry takes besides its contents.
@@ -269,6 +269,7 @@ def round_trip(df: DataFrame, model_path: str, text: str = "text", ids: str = "i
     of = names.index(text)
     schema = StructType([*carried, StructField(ids, ArrayType(IntegerType())), StructField(decoded, StringType())])
 
+    @tidy
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(raw)
         for batch in batches:

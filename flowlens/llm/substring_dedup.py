@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.chunk_mail import SCHEMA, answers, mail, range_cuts
-from flowlens.llm.worker_cache import clear
+from flowlens.llm.worker_cache import clear, tidy_group
 
 WINDOW = 50
 ROUNDS = 5
@@ -192,6 +192,7 @@ def _bits(heard: pa.Table, kind: int, n: int) -> np.ndarray:
     return out
 
 
+@tidy_group
 def _shared_names(table: pa.Table) -> pa.Table:
     """Per chunk, a flag for each name of a range: another chunk has it too."""
     blobs = [np.frombuffer(d, np.uint64) for d in table.column("data").to_pylist()]
@@ -204,6 +205,7 @@ def _shared_names(table: pa.Table) -> pa.Table:
     return _answered(table, flags, [len(b) for b in blobs])
 
 
+@tidy_group
 def _earlier_windows(table: pa.Table) -> pa.Table:
     """Per chunk, a flag for each window of a range: another chunk has it in a smaller document."""
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -235,14 +237,17 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     keyed = docs.select(F.pmod(F.xxhash64(key, text), F.lit(n_chunks)).alias("chunk"), F.col(key).cast("long").alias("key"),
                         F.col(text).alias("text"), *[F.col(c).alias(f"carry_{c}") for c in carry])
 
+    @tidy_group
     def send_names(of: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return mail(of[0].as_py(), Work(table, window, rounds, n_ranges).name_rows(), 0)
 
+    @tidy_group
     def send_windows(of: tuple[pa.Scalar, ...], table: pa.Table, heard: pa.Table) -> pa.Table:
         work = Work(table, window, rounds, n_ranges)
         work.candidates(_bits(heard, 0, len(work.names)))
         return mail(of[0].as_py(), work.window_rows(), 1)
 
+    @tidy_group
     def keep(of: tuple[pa.Scalar, ...], table: pa.Table, heard: pa.Table) -> pa.Table:
         work = Work(table, window, rounds, n_ranges)
         work.candidates(_bits(heard, 0, len(work.names)))

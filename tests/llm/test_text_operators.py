@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import resource
 import sys
 import zlib
 from bisect import bisect_right
@@ -10,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -17,7 +19,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from flowlens.llm import language_spans, ngram_trie, order_minhash, sentencepiece_bpe
+from flowlens.llm import (
+    language_spans, ngram_trie, odd_minhash, order_minhash, sentencepiece_bpe, substring_dedup, worker_cache,
+)
 from tests.llm.rows import awkward, frame
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -300,3 +304,46 @@ def test_model_beats_word_counts_on_held_out_text(spark):
     got = QUERIES["op6_ngram_trie"](spark, "/root/testdata/sf0.01").where("held_out").agg(
         F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
+
+
+def resident() -> int:
+    with open("/proc/self/statm") as file:
+        return int(file.read().split()[1]) * resource.getpagesize()
+
+
+def test_what_a_task_has_freed_goes_back_to_the_system():
+    pins = []
+
+    def work(batches):
+        for _ in batches:
+            some = [b"x" * 100_000 for _ in range(2000)]
+            pins.append(some[-1])  # lies behind the others, so that the C library alone gives nothing back
+            del some
+            yield resident()
+
+    list(work([1]))
+    begun = resident()
+    list(worker_cache.tidy(work)([1]))
+    assert resident() < begun - 100e6
+    assert worker_cache.tidy_group(lambda key, table: len(table))(1, pins) == len(pins)
+    assert resident() < begun - 100e6
+
+
+def test_workers_of_the_pipeline_give_back_after_each_batch(spark, monkeypatch):
+    given_back, functions = [], []
+    monkeypatch.setattr(worker_cache, "give_back", lambda: given_back.append(1))
+    docs = frame(spark).select("doc_id", "text", "lang")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, work, schema: functions.append(work) or self)
+    sentencepiece_bpe.round_trip(docs, PATH)
+    language_spans.label(docs, (["de"], np.ones((1, language_spans.BUCKETS + len(language_spans.SCRIPTS)), np.int64)))
+    odd_minhash.signatures(docs, "doc_id", "text", 5, 32, 5)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["ein text", "noch ein text"], "lang": ["de", None]})
+    for work in (*functions, language_spans._counts):
+        given_back.clear()
+        out = list(work([batch.slice(0, 1), batch]))
+        assert len(given_back) == len(out) + 1
+    assert len(functions) == 3
+    given_back.clear()
+    sent = pa.table({"chunk": [0, 1], "part": [0, 0], "kind": [0, 0], "data": [np.array(x, np.uint64).tobytes() for x in ([1, 2], [2])]})
+    assert substring_dedup._shared_names(sent).column("data").to_pylist() == [b"\x00\x01", b"\x01"]
+    assert len(given_back) == 1
