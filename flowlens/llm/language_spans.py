@@ -17,7 +17,7 @@ many words the first by code point wins. Rows are labelled one by one, so copies
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import islice
@@ -203,12 +203,14 @@ _SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("lang
 
 def label_texts(model: Model, texts: Iterable[str | None], penalty: float) -> tuple[list, list, list]:
     langs, shares, spans = [], [], []
-    block: list[list[str]] = []
+    block: list[np.ndarray] = []  # numbers of words
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__
 
     def flush():
         lengths = np.array([len(w) for w in block], dtype=np.int64)
-        flat = [w for ws in block for w in ws]
-        rows = model.scores(flat) if model.langs else np.zeros(len(flat), np.int64)
+        flat = np.concatenate([np.zeros(0, np.int32), *block])
+        rows = model.scores(list(number))[flat] if model.langs else np.zeros(len(flat), np.int64)
         labels = viterbi(model.rows[rows], lengths, penalty) if model.langs else rows
         for end, n in zip(np.cumsum(lengths), lengths):
             own, has = labels[end - n:end], rows[end - n:end] > 0
@@ -221,11 +223,12 @@ def label_texts(model: Model, texts: Iterable[str | None], penalty: float) -> tu
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [n]])
             spans.append([{"first": int(a), "last": int(b) - 1, "lang": model.langs[own[a]]}
                           for a, b in zip(cuts[:-1], cuts[1:])])
-        block.clear()
+        block.clear(), number.clear()
 
     words = 0
     for text in texts:
-        block.append(text.split() if text else [])
+        own = text.split() if text else []
+        block.append(np.fromiter(map(number.__getitem__, own), np.int32, len(own)))
         words += len(block[-1])
         if words >= BLOCK_WORDS:
             flush()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import resource
 import sys
+import tracemalloc
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -347,3 +348,16 @@ def test_workers_of_the_pipeline_give_back_after_each_batch(spark, monkeypatch):
     sent = pa.table({"chunk": [0, 1], "part": [0, 0], "kind": [0, 0], "data": [np.array(x, np.uint64).tobytes() for x in ([1, 2], [2])]})
     assert substring_dedup._shared_names(sent).column("data").to_pylist() == [b"\x00\x01", b"\x01"]
     assert len(given_back) == 1
+
+
+def test_repeated_words_of_a_block_are_held_once():
+    model = language_spans.Model(["de"], np.ones((1, language_spans.BUCKETS + len(language_spans.SCRIPTS)), np.int64))
+    text = " ".join(f"wort{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500))
+    language_spans.label_texts(model, [text], 9.0)
+    tracemalloc.start()
+    langs, shares, spans = language_spans.label_texts(model, (text for _ in range(600)), 9.0)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert langs == ["de"] * 600 and shares == [1.0] * 600
+    assert spans == [[{"first": 0, "last": 499, "lang": "de"}]] * 600
+    assert most < 14e6  # 300 000 words take over 17 MB as strings
